@@ -14,8 +14,8 @@ with recursive vecs as (
   select vec_id, embedding::double[] as x from embeddings
 ), nodes as (
   select vec_id as id, x,
-    x is not null and len(x) > 0 and len(list_filter(x, v -> v is null or not isfinite(v))) = 0
-      and coalesce(list_max(list_transform(x, v -> abs(v))), 0) > 0 as sound
+    x is not null and len(x) > 0 and len(list_filter(x, lambda v: v is null or not isfinite(v))) = 0
+      and coalesce(list_max(list_transform(x, lambda v: abs(v))), 0) > 0 as sound
   from vecs
 ), links as (
   select a.id as u, b.id as v from nodes a join nodes b
@@ -28,11 +28,11 @@ from nodes n join walk w on w.node = n.id group by n.id
 
 OP3 = f"""
 with recursive words as (
-  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), w -> w <> '') as w
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w
   from documents
 ), sets as (
   select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
-    else list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as s
+    else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as s
   from words
 ), flat as (
   select doc_id, unnest(s) as x from sets
@@ -66,10 +66,10 @@ from parts left join best using (page_id)
 
 OP8 = """
 with rows as (
-  select vec_id, list_transform(embedding::double[], x -> floor(1024 * x)::bigint) as x from embeddings
-  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, v -> v is null or not isfinite(v))) = 0
+  select vec_id, list_transform(embedding::double[], lambda x: floor(1024 * x)::bigint) as x from embeddings
+  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0
 ), scored as (
-  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(range(1, len(q.x) + 1), i -> q.x[i] * c.x[i]))::bigint as score
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i]))::bigint as score
   from rows q join rows c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id and len(q.x) = len(c.x)
 )
 select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
