@@ -1,7 +1,472 @@
-"""Registered queries of the library's own operators."""
+"""Registered queries of the library's own operators, each with DuckDB SQL for the same rows."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import text as tx
+from ..operators import gate, query_api, relations, sampling, summaries
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 FLAGSHIP = "agg01_read_group"
+
+
+def query(name: str, sql: str | None = None):
+    def keep(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLE[name] = sql
+        return f
+
+    return keep
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def money(c: str):
+    return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
+
+
+# -- reads --------------------------------------------------------------------------------------
+
+
+@query(FLAGSHIP, "select o_orderpriority, count(*) as __count, sum(cast(o_totalprice as decimal(18,2)))::double as total from orders where o_orderstatus = 'F' and o_totalprice > 50000 group by 1")
+def read_group(spark, d):
+    orders = table(spark, d, "orders").withColumn("total", F.col("o_totalprice").cast("decimal(18,2)"))
+    out = query_api.read_group(orders, [["o_orderstatus", "=", "F"], ["o_totalprice", ">", 50000]], ["o_orderpriority"], ["total:sum"])
+    return out.select("o_orderpriority", "__count", F.col("total_sum").cast("double").alias("total"))
+
+
+@query("agg01_count_only", "select c_mktsegment, count(*) as __count from customer group by 1")
+def count_only(spark, d):
+    return query_api.read_group(table(spark, d, "customer"), [], ["c_mktsegment"], ["__count"])
+
+
+@query("agg01_multi", "select l_returnflag, l_linestatus, count(*) as __count, sum(cast(l_quantity as decimal(18,2)))::double as qty, sum(cast(l_extendedprice as decimal(18,2)))::double as price from lineitem group by 1, 2")
+def read_group_multi(spark, d):
+    return table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("__count"), money("l_quantity").alias("qty"), money("l_extendedprice").alias("price"))
+
+
+@query("flt01_search_read", "select o_orderkey, o_custkey, o_totalprice from orders where o_orderdate >= timestamp '1995-01-01' and o_totalprice > 1000 order by o_orderkey limit 50")
+def search_read(spark, d):
+    return query_api.search_read(table(spark, d, "orders"), [["o_orderdate", ">=", F.lit("1995-01-01").cast("timestamp_ntz")], ["o_totalprice", ">", 1000]], ["o_custkey", "o_totalprice"], id_field="o_orderkey", order=["o_orderkey"], limit=50)
+
+
+@query("flt01_in", "select o_orderkey from orders where o_orderpriority in ('1-URGENT', '2-HIGH')")
+def domain_in(spark, d):
+    return query_api.search_read(table(spark, d, "orders"), [["o_orderpriority", "in", ["1-URGENT", "2-HIGH"]]], ["o_orderkey"])
+
+
+@query("flt01_ilike", "select p_partkey, p_name from part where contains(lower(p_name), 'a')")
+def domain_ilike(spark, d):
+    return query_api.search_read(table(spark, d, "part"), [["p_name", "ilike", "A"]], ["p_partkey", "p_name"])
+
+
+@query("flt01_prefix_operators", "select o_orderkey from orders where (o_orderstatus = 'F' or o_totalprice < 2000) and not (o_orderpriority = '5-LOW')")
+def prefix_operators(spark, d):
+    return query_api.search_read(table(spark, d, "orders"), ["&", "|", ["o_orderstatus", "=", "F"], ["o_totalprice", "<", 2000], "!", ["o_orderpriority", "=", "5-LOW"]], ["o_orderkey"])
+
+
+@query("join18_dotted_path", "select o_orderkey from orders join customer on o_custkey = c_custkey where c_mktsegment = 'BUILDING'")
+def dotted(spark, d):
+    return query_api.search_read(table(spark, d, "orders"), [["o_custkey.c_mktsegment", "=", "BUILDING"]], ["o_orderkey"], relations={"o_custkey": (table(spark, d, "customer"), "c_custkey")})
+
+
+@query("flt02_pinpoint", "select p_partkey, p_name, p_brand from part where p_partkey = 7 limit 1")
+def pinpoint(spark, d):
+    return query_api.search_read(table(spark, d, "part"), [["p_partkey", "=", 7]], ["p_name", "p_brand"], id_field="p_partkey", limit=1)
+
+
+@query("flt03_drop_pinned", "select o_orderstatus, count(*) as __count from orders where o_totalprice > 1000 group by 1")
+def drop_pinned(spark, d):
+    domain = query_api.drop_pinned([["o_orderstatus", "=", "F"], ["o_totalprice", ">", 1000]], "o_orderstatus")
+    return query_api.read_group(table(spark, d, "orders"), domain, ["o_orderstatus"], [])
+
+
+@query("srt06_limit_with_total", "select o_orderkey, (select count(*) from orders) as total from orders order by o_totalprice desc, o_orderkey limit 20")
+def limit_total(spark, d):
+    top = query_api.count_over(table(spark, d, "orders")).orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
+    return top.select("o_orderkey", "total")
+
+
+# -- transcripts --------------------------------------------------------------------------------
+
+
+def conversations(spark, d) -> DataFrame:
+    """(conv_id, messages), turns in order."""
+    rows = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("m"))
+    return rows.select("conv_id", F.transform("m", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("messages"))
+
+
+@query("prj07_first_exchange", "with f as (select conv_id, min(turn) filter (role = 'assistant') as t from conversations group by 1) select c.conv_id, count(*) filter (t is null or turn < t) as prompt_turns, max(text) filter (turn = t) as gold from conversations c join f using (conv_id) group by 1")
+def first_exchange(spark, d):
+    c = conversations(spark, d).withColumn("i", F.array_position(F.transform("messages", lambda m: m["role"]), "assistant"))
+    return c.select("conv_id", F.when(F.col("i") > 0, F.col("i") - 1).otherwise(F.size("messages")).cast("bigint").alias("prompt_turns"), F.get("messages", F.when(F.col("i") > 0, F.col("i") - 1).cast("int"))["content"].alias("gold"))
+
+
+@query("win10_final_answer", "select conv_id, coalesce(arg_max(text, turn) filter (role = 'assistant' and text <> ''), '') as answer from conversations group by 1")
+def final_answer(spark, d):
+    return conversations(spark, d).select("conv_id", gate.final_answer(F.col("messages")).alias("answer"))
+
+
+@query("prj16_chatml", "select conv_id, sha256(string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' order by turn)) as rendered from conversations group by 1")
+def chatml(spark, d):
+    line = F.transform("messages", lambda m: F.concat(F.lit("<|im_start|>"), m["role"], F.lit("\n"), m["content"], F.lit("<|im_end|>\n")))
+    return conversations(spark, d).select("conv_id", F.sha2(F.array_join(line, ""), 256).alias("rendered"))
+
+
+@query("prj11_transcript", "select conv_id, sha256(string_agg(upper(role) || ': ' || case when length(text) > 1400 then substr(text, 1, 1400) || ' …' else text end, chr(10) order by turn)) as transcript from conversations group by 1")
+def transcript(spark, d):
+    cut = lambda c: F.when(F.length(c) > 1400, F.concat(F.substring(c, 1, 1400), F.lit(" …"))).otherwise(c)
+    return conversations(spark, d).select("conv_id", F.sha2(F.array_join(F.transform("messages", lambda m: F.concat(F.upper(m["role"]), F.lit(": "), cut(m["content"]))), "\n"), 256).alias("transcript"))
+
+
+@query("prj18_sample_key", "select doc_id, substr(sha256('2.0|' || source || '|' || doc_id || '|' || lang), 1, 24) as key from documents")
+def sample_key(spark, d):
+    return table(spark, d, "documents").select("doc_id", tx.sample_key(F.lit("2.0"), F.col("source"), F.col("doc_id").cast("string"), F.col("lang")).alias("key"))
+
+
+@query("prj19_group_key", "select lang || '::' || source as gkey, count(*) as n from documents group by 1")
+def group_keys(spark, d):
+    return table(spark, d, "documents").groupBy(tx.group_key(F.col("lang"), F.col("source")).alias("gkey")).agg(F.count("*").alias("n"))
+
+
+@query("prj02_sidecar", "select doc_id, lang, source, quality, case when doc_id % 10 = 0 then 'eval' else 'train' end as split from documents join labels using (doc_id)")
+def sidecar(spark, d):
+    return table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").select("doc_id", "lang", "source", "quality", F.when(F.col("doc_id") % 10 == 0, "eval").otherwise("train").alias("split"))
+
+
+@query("txt02_normalise", "select doc_id, sha256(trim(regexp_replace(regexp_replace(lower(text), '[0-9]+', '#', 'g'), '[ \\t\\n\\r\\f]+', ' ', 'g'))) as h from documents")
+def normalise(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha2(tx.normalise(F.col("text")), 256).alias("h"))
+
+
+@query("txt01_strip_think", "select doc_id, sha256(case when doc_id % 5 = 2 then ' ' || text else text end) as h from documents")
+def strip_think(spark, d):
+    own = F.when(F.col("doc_id") % 5 == 2, F.concat(F.lit("<think>a\nb</think> "), F.col("text"))).otherwise(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", F.sha2(tx.strip_think(own), 256).alias("h"))
+
+
+# -- the gate -----------------------------------------------------------------------------------
+
+#: rule -> (phrase put into every seventh conversation, SQL test of the joined assistant text)
+_ASSISTANT_RULES = {
+    "qg09_version_drift": ("version_drift", "On Acme 14.0 this differs.", gate.version_drift("Acme")),
+    "qg10_prompt_artifact": ("prompt_artifact", "As an AI I cannot.", gate.PROMPT_ARTIFACT),
+    "qg11_instruction_echo": ("instruction_echo", "Keep no emojis here.", gate.INSTRUCTION_ECHO),
+    "qg12_prompt_leak": ("prompt_leak", "Relational Edges: none.", gate.PROMPT_LEAK),
+    "qg14_tool_call_as_text": ("tool_call_as_text", "\nacme_create('x')", gate.call_as_text("acme_")),
+    "qg17_teacher_voice": ("teacher_voice", "Since the user asked, done.", gate.TEACHER_VOICE),
+}
+
+
+def injected(spark, d, phrase: str, role: str = "assistant") -> DataFrame:
+    rows = table(spark, d, "conversations").where("text is not null")
+    own = F.when((F.col("conv_id") % 7 == 3) & (F.col("role") == role), F.concat("text", F.lit(" " + phrase))).otherwise(F.col("text"))
+    rows = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", own.alias("content")))).alias("m"))
+    return rows.select("conv_id", F.transform("m", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("messages"))
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _gate_query(name: str, rule: str, phrase: str, pattern: str, role: str, each: str) -> None:
+    malformed = "count(*) < 2 or count(*) filter (role not in ('system','user','assistant','tool')) > 0 or count(*) filter (role = 'user') = 0 or count(*) filter (role = 'assistant') = 0"
+    own = f"case when conv_id % 7 = 3 and role = {_quoted(role)} then text || {_quoted(' ' + phrase)} else text end"
+    tests = {
+        "joined": f"regexp_matches(coalesce(string_agg(x, chr(10) order by turn) filter (role = 'assistant'), ''), {_quoted(pattern)})",
+        "final": f"regexp_matches(coalesce(arg_max(x, turn) filter (role = 'assistant' and x <> ''), ''), {_quoted(pattern)})",
+        "user": f"bool_or(role = 'user' and regexp_matches(trim(x, E' \\t\\n\\r'), {_quoted(pattern)}))",
+    }
+    sql = f"select conv_id, not ({malformed}) and {tests[each]} as rejected from (select *, {own} as x from conversations where text is not null) group by 1"
+
+    @query(name, sql)
+    def run(spark, d):
+        c = injected(spark, d, phrase, role)
+        return c.select("conv_id", F.array_contains(gate.reasons(F.col("messages"), "Acme", "acme_"), rule).alias("rejected"))
+
+
+for _name, (_rule, _phrase, _pattern) in _ASSISTANT_RULES.items():
+    _gate_query(_name, _rule, _phrase, _pattern, "assistant", "joined")
+_gate_query("qg13_chatty", "chatty", "I hope this helps", gate.CHATTY, "assistant", "final")
+_gate_query("qg05_user_turn_meta", "user_turn_meta", "per the instruction", gate.USER_META, "user", "user")
+_gate_query("qg04_robotic_prompt", "robotic_prompt", "x", gate.ROBOTIC, "user", "user")
+
+
+@query("qg01_malformed", "select conv_id, count(*) < 2 or count(*) filter (role not in ('system','user','assistant','tool')) > 0 or count(*) filter (role = 'user') = 0 or count(*) filter (role = 'assistant') = 0 as rejected from conversations group by 1")
+def malformed(spark, d):
+    return conversations(spark, d).select("conv_id", gate.malformed(F.col("messages")).alias("rejected"))
+
+
+@query("qg07_thin_answer", "select conv_id, length(trim(coalesce(arg_max(text, turn) filter (role = 'assistant' and text <> ''), ''), E' \\t\\n\\r')) < 120 as thin from conversations group by 1")
+def thin_answer(spark, d):
+    return conversations(spark, d).select("conv_id", (F.length(tx.strip(gate.final_answer(F.col("messages")))) < gate.MIN_ANSWER).alias("thin"))
+
+
+@query(
+    "qg08_truncated",
+    """with t as (select doc_id, rtrim(case when doc_id % 4 = 1 then text || ' and then' else text end, E' \\t\\n\\r') as t from documents),
+l as (select doc_id, t, right(t, 1) as last, trim(list_extract(string_split(t, chr(10)), -1), E' \\t\\n\\r') as tail from t)
+select doc_id, t = '' or not (contains('.!?)]`:"''*…—✓✅', last) or regexp_matches(last, '[\\p{So}\\p{Sk}]') or (regexp_matches(tail, '^[|*#-]') and length(tail) > 3)) as cut from l""",
+)
+def truncated(spark, d):
+    own = F.when(F.col("doc_id") % 4 == 1, F.concat("text", F.lit(" and then"))).otherwise(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", gate.truncated(own).alias("cut"))
+
+
+@query("qg06_broken_think", "select conv_id, conv_id % 3 = 1 as broken from (select distinct conv_id from conversations)")
+def broken_think(spark, d):
+    own = F.when(F.col("conv_id") % 3 == 1, "<think>open").otherwise("<think>shut</think>")
+    return table(spark, d, "conversations").select("conv_id").distinct().select("conv_id", (tx.think_balance(own) != 0).alias("broken"))
+
+
+@query("qg16_fabricated_reference", "select o_orderkey, year(o_orderdate) between 2000 and 2029 and year(o_orderdate) <> 2026 as fabricated from orders")
+def fabricated(spark, d):
+    text = F.concat(F.lit("Posted INV/"), F.year("o_orderdate"), F.lit("/00"), F.col("o_orderkey"))
+    found = F.regexp_extract_all(text, F.lit(gate.FABRICATED_REFERENCE), F.lit(0))
+    return table(spark, d, "orders").select("o_orderkey", F.exists(found, lambda r: ~r.contains(gate.REFERENCE_YEAR)).alias("fabricated"))
+
+
+@query("qg15_state_claim", "select o_orderkey, o_orderkey % 5 = 0 and o_orderstatus <> 'O' as unsupported from orders")
+def state_claim(spark, d):
+    said = F.when(F.col("o_orderkey") % 5 == 0, "The status is now 'open_o'.").otherwise("Nothing to report.")
+    claims = F.transform(F.regexp_extract_all(said, F.lit(gate.STATE_CLAIM), F.lit(1)), F.lower)
+    reported = F.array(F.concat(F.lit("open_"), F.lower("o_orderstatus")))
+    return table(spark, d, "orders").select("o_orderkey", (F.size(F.array_except(claims, reported)) > 0).alias("unsupported"))
+
+
+@query("qg25_unmade_write", "select o_orderkey, o_orderkey % 3 = 0 as claimed from orders")
+def unmade_write(spark, d):
+    said = F.when(F.col("o_orderkey") % 3 == 0, "I confirmed the order.").when(F.col("o_orderkey") % 3 == 1, "No entry has been posted yet.").otherwise("I will confirm it.")
+    return table(spark, d, "orders").select("o_orderkey", gate.unnegated_write(said).alias("claimed"))
+
+
+@query("qg18_bad_arguments", "select event_id, not (event_id % 11 <> 0 and json_valid(props)) as bad from events")
+def bad_arguments(spark, d):
+    own = F.when(F.col("event_id") % 11 == 0, F.substring("props", 2, 1000)).otherwise(F.col("props"))
+    parsed = F.try_parse_json(own)
+    return table(spark, d, "events").select("event_id", F.coalesce(~F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(True)).alias("bad"))
+
+
+@query("qg19_unknown_model", "select event_id, event_type from events where event_type not in ('click', 'view')")
+def unknown_model(spark, d):
+    known = spark.sql("select * from values ('click'), ('view') as t(event_type)")
+    return table(spark, d, "events").join(F.broadcast(known), "event_type", "left_anti").select("event_id", "event_type")
+
+
+@query("qg20_hallucinated_method", "with seen as (select distinct user_id, event_type from events where event_id % 2 = 0) select event_id from events e where not exists (select 1 from seen s where s.user_id = e.user_id and s.event_type = e.event_type)")
+def hallucinated(spark, d):
+    events = table(spark, d, "events")
+    return events.join(events.where("event_id % 2 = 0").select("user_id", "event_type").distinct(), ["user_id", "event_type"], "left_anti").select("event_id")
+
+
+@query("qg02_orphan_result", "select user_id, count(*) as orphans from events e where event_id % 3 = 0 and not exists (select 1 from events c where c.user_id = e.user_id and c.event_type = e.event_type and c.event_id % 3 = 1) group by 1")
+def orphans(spark, d):
+    events = table(spark, d, "events")
+    calls = events.where("event_id % 3 = 1").select("user_id", "event_type").distinct()
+    return events.where("event_id % 3 = 0").join(calls, ["user_id", "event_type"], "left_anti").groupBy("user_id").agg(F.count("*").alias("orphans"))
+
+
+@query("qg21_placeholder", "select p_partkey, regexp_matches(case when p_partkey % 9 = 0 then 'Sample Name #' || p_partkey else p_name end, '^Sample .*#[0-9]+$|^Sample Value$|^option1$|^Updated #[0-9]+$') as placeholder from part")
+def placeholder(spark, d):
+    own = F.when(F.col("p_partkey") % 9 == 0, F.concat(F.lit("Sample Name #"), F.col("p_partkey"))).otherwise(F.col("p_name"))
+    return table(spark, d, "part").select("p_partkey", own.rlike(gate.PLACEHOLDER).alias("placeholder"))
+
+
+@query("qg22_over_length", "select doc_id, length(text) > 32768 as over_length from documents")
+def over_length(spark, d):
+    return table(spark, d, "documents").select("doc_id", (F.length("text") > gate.MAX_CHARS).alias("over_length"))
+
+
+_NEAR_SQL = "sha256(trim(regexp_replace(regexp_replace(lower(substr(text, 1, 600)), '[0-9]+', '#', 'g'), '[ \\t\\n\\r\\f]+', ' ', 'g')))"
+
+
+@query("qg23_dedup", f"with k as (select doc_id, row_number() over (partition by sha256(text) order by doc_id) as e, row_number() over (partition by {_NEAR_SQL} order by doc_id) as n from documents) select doc_id, e > 1 as duplicate, e = 1 and n > 1 as near_duplicate from k")
+def dedup(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", "text")
+    return gate.first_wins(rows, "doc_id", F.col("text"), tx.normalise(F.substring("text", 1, 600))).drop("text")
+
+
+@query("agg03_tally", "select 'thin' as reason, count(*) as n from documents where n_chars < 500 having count(*) > 0 union all select 'long', count(*) from documents where n_chars > 3000 having count(*) > 0 union all select 'foreign', count(*) from documents where lang <> 'en' having count(*) > 0")
+def rejection_tally(spark, d):
+    rows = table(spark, d, "documents").select(F.array_compact(F.array(F.when(F.col("n_chars") < 500, "thin"), F.when(F.col("n_chars") > 3000, "long"), F.when(F.col("lang") != "en", "foreign"))).alias("reasons"))
+    return summaries.tally(rows, "reasons")
+
+
+# -- joins, catalog -----------------------------------------------------------------------------
+
+_EDGES = "('orders','customer','Many2one','o_custkey'),('customer','nation','Many2one','c_nationkey'),('supplier','nation','Many2one','s_nationkey'),('nation','region','Many2one','n_regionkey'),('lineitem','orders','Many2one','l_orderkey'),('lineitem','part','Many2one','l_partkey'),('lineitem','supplier','Many2one','l_suppkey'),('orders','lineitem','One2many','lines'),('part','part','Many2one','parent')"
+_EDGE_SQL = f"(values {_EDGES}) as e(source_model, target_model, rel_type, field_name)"
+_METHODS = "('order','action_confirm'),('order','button_cancel'),('order','action_view_lines'),('order','action_done'),('order','compute_total_amount_again'),('part','button_validate'),('part','action_archive'),('part','print_label')"
+
+
+def edges(spark) -> DataFrame:
+    return spark.sql(f"select * from values {_EDGES} as e(source_model, target_model, rel_type, field_name)")
+
+
+@query("join15_neighbours", f"select source_model, target_model, field_name, case when source_model = 'orders' then target_model else source_model end as other from {_EDGE_SQL} where source_model = 'orders' or target_model = 'orders'")
+def neighbours(spark, d):
+    return relations.neighbours(edges(spark), "orders").select("source_model", "target_model", "field_name", "other")
+
+
+@query("join15_within", f"with recursive e2 as (select source_model a, target_model b from {_EDGE_SQL} union select target_model, source_model from {_EDGE_SQL}), w(model, steps) as (select 'orders', 0 union select e2.b, w.steps + 1 from w join e2 on e2.a = w.model where w.steps < 2) select model, min(steps) as steps from w group by 1")
+def within(spark, d):
+    return relations.within(edges(spark), "orders", 2)
+
+
+@query("srt02_relations", f"with s(model) as (values ('orders'), ('lineitem'), ('customer')), e as (select e.*, target_model in (select model from s) as on_surface from {_EDGE_SQL} where source_model in (select model from s) and source_model <> target_model) select source_model, field_name, row_number() over (partition by source_model order by not on_surface, field_name not in ('l_partkey'), length(field_name), field_name)::int as rank from e qualify rank <= 6")
+def ranked(spark, d):
+    surface = spark.sql("select * from values ('orders'), ('lineitem'), ('customer') as s(model)")
+    return relations.ranked_relations(edges(spark), surface, ["l_partkey"]).select("source_model", "field_name", "rank")
+
+
+@query("srt01_method_rank", "select * from (values ('order','button_cancel',105,1),('order','action_confirm',100,2),('order','action_done',96,3),('order','compute_total_amount_again',67,4),('part','button_validate',109,1),('part','action_archive',82,2),('part','print_label',0,3)) as t(model, method, score, rank)")
+def method_rank(spark, d):
+    methods = spark.sql(f"select * from values {_METHODS} as m(model, method)")
+    return relations.top_methods(methods, "model", "method")
+
+
+@query("join02_verified", "select s_suppkey from supplier where s_nationkey in (select n_nationkey from nation where n_regionkey < 3)")
+def verified(spark, d):
+    known = table(spark, d, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("s_nationkey"))
+    return relations.verify(table(spark, d, "supplier"), known, ["s_nationkey"])[0].select("s_suppkey")
+
+
+@query("join02_warnings", "select s_suppkey from supplier where s_nationkey not in (select n_nationkey from nation where n_regionkey < 3)")
+def warnings(spark, d):
+    known = table(spark, d, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("s_nationkey"))
+    return relations.verify(table(spark, d, "supplier"), known, ["s_nationkey"])[1].select("s_suppkey")
+
+
+@query("join13_upsert", "select user_id, arg_max(event_type, event_id) as event_type, max(event_id) as event_id from events group by 1")
+def upsert(spark, d):
+    return relations.upsert_last_wins(table(spark, d, "events").select("user_id", "event_type", "event_id"), ["user_id"], "event_id")
+
+
+@query("snk02_append", "select o_orderkey from orders where o_orderkey not in (select l_orderkey from lineitem where l_quantity > 25)")
+def append(spark, d):
+    known = table(spark, d, "lineitem").where("l_quantity > 25").select(F.col("l_orderkey").alias("o_orderkey"))
+    return relations.append_if_absent(known, table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"])
+
+
+@query("join09_fallback", "select s_suppkey, coalesce(case when n_nationkey % 2 = 0 then n_name end, r_name) as label from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey")
+def fallback(spark, d):
+    nation = table(spark, d, "nation")
+    rows = table(spark, d, "supplier").join(F.broadcast(nation.select("n_nationkey", "n_regionkey")), F.col("s_nationkey") == F.col("n_nationkey"))
+    exact = nation.where("n_nationkey % 2 = 0").select("n_nationkey", F.col("n_name").alias("label"))
+    wide = table(spark, d, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("label"))
+    return relations.fallback_join(rows, exact, "n_nationkey", wide, "n_regionkey", "label").select("s_suppkey", "label")
+
+
+@query("join01_models_methods", "select distinct c_mktsegment, o_orderpriority from customer join orders on c_custkey = o_custkey")
+def models_methods(spark, d):
+    return table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey")).select("c_mktsegment", "o_orderpriority").distinct()
+
+
+# -- aggregates, samples ------------------------------------------------------------------------
+
+
+@query("agg04_manifest", "select case when grouping(lang) = 0 then 'lang' when grouping(source) = 0 then 'source' when grouping(quality) = 0 then 'quality' else 'total' end as dimension, case when grouping(lang) = 0 then lang when grouping(source) = 0 then source when grouping(quality) = 0 then quality::varchar else '' end as value, count(*) as n from documents left join labels using (doc_id) group by grouping sets ((lang), (source), (quality), ())")
+def manifest(spark, d):
+    return summaries.manifest(table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left"), ["lang", "source", "quality"])
+
+
+@query("agg06_resume_index", "select event_type, count(*) as n, greatest(max(event_id) + 1, count(*)) as next_index from events group by 1")
+def resume(spark, d):
+    return table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.greatest(F.max("event_id") + 1, F.count("*")).alias("next_index"))
+
+
+@query("agg05_shortfall", "with t as (select event_type, 2500 as target from events group by 1), h as (select event_type, count(*) as have from events group by 1) select event_type, target, have, greatest(0, target - have) as missing from t join h using (event_type)")
+def shortfall(spark, d):
+    events = table(spark, d, "events")
+    return summaries.shortfall(events.select("event_type").distinct().withColumn("target", F.lit(2500)), events, "event_type")
+
+
+@query("agg08_scorecard", "select count(*) as samples, count(*) filter (n_chars > 500) as long, round(100.0 * count(*) filter (n_chars > 500) / greatest(count(*), 1), 1) as long_pct, count(*) filter ((n_chars > 500) = (quality = 1)) as agree, round(100.0 * count(*) filter ((n_chars > 500) = (quality = 1)) / greatest(count(*), 1), 1) as agree_pct from documents join labels using (doc_id)")
+def scorecard(spark, d):
+    pairs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
+    return summaries.scorecard(pairs, {"long": F.col("n_chars") > 500, "agree": (F.col("n_chars") > 500) == (F.col("quality") == 1)})
+
+
+@query("agg10_quantiles", "with s as (select list_sort(list(n_chars)) as x from documents where n_chars is not null) select len(x) as n, x[len(x) // 2 + 1] as median, x[floor(len(x) * 0.95)::bigint + 1] as p95, x[len(x)] as largest, len(list_filter(x, lambda v: v > 3000)) / len(x) as share_over from s")
+def quantiles(spark, d):
+    return summaries.discrete_quantiles(table(spark, d, "documents"), "n_chars", 3000)
+
+
+@query("agg12_usage_share", "select event_type, count(*) as n, count(*) / sum(count(*)) over () as share from events group by 1")
+def usage_share(spark, d):
+    counts = table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"))
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+
+
+@query("agg14_method_index", "select user_id, array_to_string(list_sort(list_distinct(list(event_type) || ['create', 'write'])), ',') as methods from events group by 1")
+def method_index(spark, d):
+    known = F.array_sort(F.array_union(F.collect_set("event_type"), F.array(F.lit("create"), F.lit("write"))))
+    return table(spark, d, "events").groupBy("user_id").agg(F.array_join(known, ",").alias("methods"))
+
+
+@query("win01_split", "with g as (select lang || '::' || source as gkey, count(*) as n from documents group by 1), c as (select gkey, coalesce(sum(n) over (order by sha256(gkey), gkey rows between unbounded preceding and 1 preceding), 0) as before, sum(n) over () as total from g) select doc_id, case when before < floor(total * 0.05) then 'eval' else 'train' end as split from documents join c on gkey = lang || '::' || source")
+def split(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", tx.group_key(F.col("lang"), F.col("source")).alias("gkey"))
+    return sampling.leak_free_split(rows, "gkey", 0.05, F.sha2("gkey", 256)).select("doc_id", "split")
+
+
+@query("win02_focus_mix", "with f as (select count(distinct source) as k from documents), o as (select doc_id, source, row_number() over (partition by source order by doc_id) as nth from documents where source <> 'src0') select doc_id from documents where source = 'src0' union all select doc_id from o, f where nth <= greatest(1, 200 // greatest(k - 1, 1))")
+def focus_mix(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", "source")
+    return sampling.focus_mix(rows, "source", ["src0"], 200, F.col("doc_id"), rows.select("source").distinct().count()).select("doc_id")
+
+
+@query("win03_repetition", "select event_id, row_number() over (partition by user_id, event_type order by event_id) - 1 as nth from events")
+def repetition(spark, d):
+    return table(spark, d, "events").select("event_id", (F.row_number().over(Window.partitionBy("user_id", "event_type").orderBy("event_id")) - 1).cast("bigint").alias("nth"))
+
+
+@query("win04_budget_cycle", "with p as (select n_regionkey, n_nationkey, row_number() over (partition by n_regionkey order by n_nationkey) - 1 as pos, count(*) over (partition by n_regionkey) as k from nation) select n_regionkey, n_nationkey, draw::int as draw from p, range(34) r(draw) where draw % k = pos")
+def budget_cycle(spark, d):
+    return sampling.budget_cycle(table(spark, d, "nation").select("n_regionkey", "n_nationkey"), "n_regionkey", "n_nationkey", 34)
+
+
+@query("win05_interleave", "with p as (select p_partkey, case when p_size <= 20 then 1 when p_size <= 35 then 2 when p_size <= 45 then 3 else 4 end as tier from part), n as (select *, row_number() over (partition by tier order by p_partkey) - 1 as pos, count(*) over (partition by tier) as k from p), s as (select slot, case when slot % 100 < 50 then 1 when slot % 100 < 80 then 2 when slot % 100 < 95 then 3 else 4 end as tier from range(3000) r(slot)), t as (select slot, tier, row_number() over (partition by tier order by slot) - 1 as turn from s) select slot, p_partkey from t join n using (tier) where turn % k = pos")
+def interleave(spark, d):
+    tier = F.when(F.col("p_size") <= 20, 1).when(F.col("p_size") <= 35, 2).when(F.col("p_size") <= 45, 3).otherwise(4)
+    rows = table(spark, d, "part").select("p_partkey", tier.alias("tier"))
+    return sampling.tier_interleave(spark, rows, "tier", "p_partkey", 3000).select("slot", "p_partkey")
+
+
+@query("win07_round_targets", "with t as (select event_type, count(*) as target from events group by 1) select event_type, r::int as round, least(target, r * 500) as goal from t, range(1, 100000) x(r) where r <= greatest(ceil(target / 500), 1)")
+def rounds(spark, d):
+    t = table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("target"))
+    return sampling.round_targets(t, "target", 500).select("event_type", "round", "goal")
+
+
+@query("win11_until_failure", "with f as (select *, coalesce(max(case when event_type = 'error' then 1 else 0 end) over (partition by user_id order by event_id rows between unbounded preceding and 1 preceding), 0) as f from events) select event_id from f where f = 0")
+def until_failure(spark, d):
+    return sampling.prefix_until(table(spark, d, "events"), "user_id", "event_id", F.col("event_type") == "error").select("event_id")
+
+
+@query("win12_record_memo", "select user_id, arg_min(props, event_id) as first_props, arg_max(event_type, event_id) as state from events group by 1")
+def record_memo(spark, d):
+    return table(spark, d, "events").groupBy("user_id").agg(F.min_by("props", "event_id").alias("first_props"), F.max_by("event_type", "event_id").alias("state"))
+
+
+@query("json_arguments", "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events")
+def json_arguments(spark, d):
+    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+
+
+@query("set03_missing", "select n_nationkey from nation except select c_nationkey from customer where c_acctbal > 9000")
+def missing(spark, d):
+    rich = table(spark, d, "customer").where("c_acctbal > 9000").select(F.col("c_nationkey").alias("n_nationkey"))
+    return table(spark, d, "nation").select("n_nationkey").exceptAll(rich.distinct()).distinct()
+
+
+@query("gen02_draws")
+def draws(spark, d):
+    i = F.col("index")
+    return spark.range(10_000).select(F.col("id").alias("index")).select("index", sampling.draw("20260317", i, "model", 20).alias("model"), sampling.draw("20260317", i, "persona", 20).alias("persona"), sampling.draw("20260317", i, "situation", 89).alias("situation"))
