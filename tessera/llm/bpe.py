@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,8 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .streams import text_slices
+
 MEMO_ENTRIES = 300_000
 MEMO_BYTES = 256
 FRAGMENTS_AT_ONCE = 400_000
@@ -38,6 +41,17 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: ASCII and Latin-1 letters, whose class and lower case every Unicode version shares
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_ONE_PRETOKEN = re.compile(rf" ?[{LETTERS}]+| ?[0-9]+| ?[!-&(-/:-@\[-`{{-~]+").fullmatch
+_STAND_INS = {b: c for c, b in byte_alphabet().items()}
+
+
+def stand_in(piece: str) -> str:
+    """The text as byte-level vocabularies spell it."""
+    return piece.encode().decode("latin-1").translate(_STAND_INS)
+
+
 class ForcedBoundaryBPE:
     """Encoder and decoder of one tokenizer file (its JSON text)."""
 
@@ -90,8 +104,16 @@ class ForcedBoundaryBPE:
         memo = self.memo
         new = [f for f in set(fragments) if f not in memo]
         long: dict[bytes, bytes] = {}
-        for lo in range(0, len(new), 20_000):
-            part = new[lo : lo + 20_000]
+        rest = []
+        tokenize = self.tokenizer.model.tokenize
+        for f in new:
+            text = f.decode()
+            if len(f) <= MEMO_BYTES and _ONE_PRETOKEN(text) and b"<|" not in f:  # one word of the pattern: straight to the merges
+                memo[f] = np.array([t.id for t in tokenize(stand_in(text))], dtype=np.int32).tobytes()
+            else:
+                rest.append(f)
+        for lo in range(0, len(rest), 4_000):
+            part = rest[lo : lo + 4_000]
             for f, e in zip(part, self.tokenizer.encode_batch([f.decode() for f in part], add_special_tokens=False)):
                 (memo if len(f) <= MEMO_BYTES else long)[f] = np.array(e.ids, dtype=np.int32).tobytes()
         out = [memo[f] for f in fragments] if not long else [long[f] if f in long else memo[f] for f in fragments]
@@ -100,7 +122,11 @@ class ForcedBoundaryBPE:
         return out
 
     def encode(self, texts: pa.Array) -> pa.Array:
-        """Ids of each text; null counts as empty."""
+        """Ids of each text; null counts as empty.  Worked in slices of a few MB, whole texts each."""
+        parts = [self._encode(texts.slice(lo, hi - lo)) for lo, hi in text_slices(texts)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
+    def _encode(self, texts: pa.Array) -> pa.Array:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
         whole = texts.buffers()[2]
@@ -127,6 +153,10 @@ class ForcedBoundaryBPE:
     def decode(self, ids: pa.Array) -> pa.Array:
         """Text of each id list; ids beyond the vocabulary and null ids are left out, null lists
         give empty text, and bytes that are no UTF-8 become U+FFFD."""
+        parts = [self._decode(ids.slice(lo, 512)) for lo in range(0, len(ids), 512)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+    def _decode(self, ids: pa.Array) -> pa.Array:
         lists = pc.fill_null(ids.cast(pa.list_(pa.int32())), [])
         flat = lists.flatten()
         lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,11 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe import LETTERS, stand_in
 from .store import materialize
 from .streams import emit, text_slices
 
 CAPACITY = 2048
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 500_000
 MEMO_BYTES = 128
 
 
@@ -121,11 +124,19 @@ def _joined(length: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return (length.astype(np.int64) << 48) | rank.astype(np.int64)
 
 
+_LOW = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_PLAIN = re.compile(rf"[!-~{LETTERS}]+").fullmatch
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LOW}]+|[0-9]|[^{_LOW}0-9]+").findall
+_KNOWN_LAYOUT = {"normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split", "ByteLevel"]}
+
+
 class WordTokenizer:
     """Ids of whole texts by a tokenizer that drops white space, word by word with a memo.
 
     Texts are split at ASCII white space only, all of which the tokenizer drops; normalisers of
     such files work on characters and their neighbours within a word, so words are independent.
+    Words of ASCII and Latin-1 letters are cut by the file's pattern here and go straight to its
+    merges, piece by piece with a memo; all others take the tokenizer's whole path.
     """
 
     def __init__(self, spec: str):
@@ -135,6 +146,21 @@ class WordTokenizer:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.memo: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        layout = json.loads(spec)
+        kinds = lambda key, inner: [x["type"] for x in (layout.get(key) or {}).get(inner, [])]
+        self.plain = kinds("normalizer", "normalizers") == _KNOWN_LAYOUT["normalizer"] and kinds("pre_tokenizer", "pretokenizers") == _KNOWN_LAYOUT["pre_tokenizer"]
+
+    def _plain_word(self, word: str) -> bytes:
+        out = []
+        for piece in _PIECES(word.lower()):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                ids = np.array([t.id for t in self.tokenizer.model.tokenize(stand_in(piece))], dtype="<u4").tobytes()
+                if len(piece) <= MEMO_BYTES:
+                    self.pieces[piece] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
@@ -142,8 +168,17 @@ class WordTokenizer:
         memo = self.memo
         new = list({w for ws in words for w in ws}.difference(memo))
         long: dict[bytes, bytes] = {}
-        for lo in range(0, len(new), 20_000):
-            part = new[lo : lo + 20_000]
+        rest = []
+        for w in new:
+            text = w.decode()
+            if self.plain and _PLAIN(text) and b"<|" not in w:
+                (memo if len(w) <= MEMO_BYTES else long)[w] = self._plain_word(text)
+            else:
+                rest.append(w)
+        if len(self.pieces) > MEMO_ENTRIES:
+            self.pieces.clear()
+        for lo in range(0, len(rest), 4_000):
+            part = rest[lo : lo + 4_000]
             for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
                 (memo if len(w) <= MEMO_BYTES else long)[w] = np.array(e.ids, dtype="<u4").tobytes()
         look = {**memo, **long} if long else memo
