@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -195,7 +195,7 @@ def _coder(key: str, spec) -> ForcedBoundaryBPE:
 
 
 class Bpe:
-    """Column functions of one tokenizer.
+    """Column functions of one tokenizer, and both directions in one pass over a table.
 
     path: a byte-level tokenizer file that the driver can read; its text (a few MB, whatever the
     corpus) is broadcast once.  `encode` takes a string column (null: empty list) to its ids as
@@ -206,6 +206,7 @@ class Bpe:
     def __init__(self, spark: SparkSession, path: str):
         text = open(path, encoding="utf-8").read()
         key, spec = hashlib.sha256(text.encode()).hexdigest(), spark.sparkContext.broadcast(text)
+        self._key, self._spec = key, spec
 
         @F.arrow_udf(T.ArrayType(T.IntegerType(), False))
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -224,3 +225,24 @@ class Bpe:
 
     def decode(self, ids: Column | str) -> Column:
         return self._decode(ids)
+
+    def tokenized(self, docs: DataFrame, text: str = "text", *, ids: str = "ids", decoded: str | None = None) -> DataFrame:
+        """docs without the text, with its ids and, if named, the text decoded from those ids:
+        one worker a task, in slices of about a MB.  Columns named like the new ones are replaced;
+        null and empty texts have no ids and decode to empty text; repeated rows are encoded each
+        for itself; an empty table gives an empty result."""
+        key, spec = self._key, self._spec
+        kept = [f for f in docs.schema.fields if f.name not in (text, ids, decoded)]
+        new = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))] + ([T.StructField(decoded, T.StringType())] if decoded else [])
+        names = [f.name for f in [*kept, *new]]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            coder = _coder(key, spec)
+            for batch in batches:
+                for lo, hi in text_slices(batch.column(len(kept)), 1 << 20):
+                    part = batch.slice(lo, hi - lo)
+                    own = coder._encode(part.column(len(kept)))
+                    back = [coder._decode(own)] if decoded else []
+                    yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], own, *back], names=names)
+
+        return docs.select(*[f.name for f in kept], text).mapInArrow(run, T.StructType([*kept, *new]))

@@ -23,8 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coder = bpe.Bpe(spark, public_tokenizers.path("byte_bpe_50k.json"))
-    docs = _table(spark, sf_dir, "documents").select("doc_id", coder.encode("text").alias("ids"))
-    docs = docs.select("doc_id", "ids", coder.decode("ids").alias("decoded"))
+    docs = coder.tokenized(_table(spark, sf_dir, "documents").select("doc_id", "text"), decoded="decoded")
     return docs.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
