@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 
 from .bpe import LETTERS, stand_in
 from .store import materialize
-from .streams import emit, text_slices
+from .streams import text_slices
 
 CAPACITY = 2048
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 300_000
 MEMO_BYTES = 128
 
 
@@ -206,9 +206,9 @@ def cut_pieces(docs: DataFrame, path: str, *, doc_id: str = "doc_id", text: str
     local_rank number the pieces of each length within a task; ids (if asked) is the piece."""
     spec_text = open(path, encoding="utf-8").read()
     key, spec = hashlib.sha256(spec_text.encode()).hexdigest(), docs.sparkSession.sparkContext.broadcast(spec_text)
-    schema = PIECES + (", ids array<bigint>" if with_ids else "")
+    schema = PIECES + (", ids array<int>" if with_ids else "")
     fields = [("chunk", pa.int32()), ("local_rank", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
-    arrow = pa.schema(fields + ([("ids", pa.list_(pa.int64()))] if with_ids else []))
+    arrow = pa.schema(fields + ([("ids", pa.list_(pa.int32()))] if with_ids else []))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _tokenizer(key, spec)
@@ -216,21 +216,25 @@ def cut_pieces(docs: DataFrame, path: str, *, doc_id: str = "doc_id", text: str
         seen = [0] * (capacity + 1)
         tail = np.array([end_id], dtype="<u4").tobytes()
 
-        def rows():
-            for batch in batches:
-                ids, texts = batch.column(0), pc.fill_null(batch.column(1), "")
-                for lo, hi in text_slices(texts):
-                    names = ids.slice(lo, hi - lo).to_pylist()
-                    for name, own in zip(names, coder.ids(texts.slice(lo, hi - lo).cast(pa.binary()).to_pylist())):
-                        own += tail
-                        for piece, at in enumerate(range(0, len(own), 4 * capacity)):
-                            part = own[at : at + 4 * capacity]
-                            n = len(part) >> 2
-                            row = (chunk, seen[n], name, piece, at >> 2, n, zlib.crc32(part))
-                            seen[n] += 1
-                            yield (*row, np.frombuffer(part, dtype="<u4").tolist()) if with_ids else row
-
-        yield from emit(rows(), arrow)
+        for batch in batches:
+            texts = pc.fill_null(batch.column(1), "")
+            for lo, hi in text_slices(texts, 1 << 20):
+                names = batch.column(0).slice(lo, hi - lo).to_pylist()
+                rows, parts = [], []
+                for name, own in zip(names, coder.ids(texts.slice(lo, hi - lo).cast(pa.binary()).to_pylist())):
+                    own += tail
+                    for piece, at in enumerate(range(0, len(own), 4 * capacity)):
+                        part = own[at : at + 4 * capacity]
+                        n = len(part) >> 2
+                        rows.append((chunk, seen[n], name, piece, at >> 2, n, zlib.crc32(part)))
+                        seen[n] += 1
+                        if with_ids:
+                            parts.append(part)
+                columns = [pa.array(c, type=f.type) for c, f in zip(zip(*rows), arrow)]
+                if with_ids:
+                    ends = np.concatenate([[0], np.cumsum([r[5] for r in rows])]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), dtype="<i4"))))
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
 
