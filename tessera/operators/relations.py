@@ -91,3 +91,52 @@ def fallback_join(rows: DataFrame, exact: DataFrame, by: str, general: DataFrame
     a = exact.select(by, F.col(value).alias("_exact"))
     b = general.select(wider, F.col(value).alias("_wide"))
     return rows.join(a, by, "left").join(b, wider, "left").withColumn(value, F.coalesce("_exact", "_wide")).drop("_exact", "_wide")
+
+
+# Verbs with phrases of their own; columns that a search prefers; kinds of values by column.
+PHRASES = {
+    "confirm": "confirm the {}", "cancel": "cancel the {}", "validate": "validate the {}", "approve": "approve the {}", "refuse": "refuse the {}",
+    "done": "complete the {}", "post": "post the {}", "draft": "put the {} back to draft", "start": "start the {}", "assign": "assign the {}",
+    "archive": "archive the {}", "submit": "submit the {}", "pay": "pay the {}", "send": "send the {}", "reset": "reset the {}", "apply": "apply the {}",
+    "plan": "schedule the {}", "close": "close the {}",
+}
+# End of fixed values.
+
+
+def intent_of(method: Column, label: Column) -> Column:
+    """What a method does, from its name: a verb's own phrase, the same with the whole name where
+    the verb only begins or ends it, else the name itself."""
+    words = F.trim(F.replace(F.regexp_replace(method, "^(?:action_|button_)", ""), F.lit("_"), F.lit(" ")))
+    phrase = lambda p: F.replace(F.lit(p), F.lit("{}"), label)
+    exact, edge = None, None
+    for verb, p in PHRASES.items():
+        at_edge = words.startswith(verb + " ") | words.endswith(" " + verb)
+        longer = F.concat(phrase(p), F.lit(" ("), words, F.lit(")"))
+        exact = (F.when if exact is None else exact.when)(words == verb, phrase(p))
+        edge = (F.when if edge is None else edge.when)(at_edge, longer)
+    return F.coalesce(exact, edge, F.concat(F.lit("deal with the "), label, F.lit(" — specifically, "), words))
+
+
+def discover(candidates: DataFrame, fields: DataFrame, methods: DataFrame, curated: DataFrame, preferred: list[str], min_methods: int = 1, k: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(specifications, notes) for candidates (model, label, domain) outside the curated ones.
+
+    fields: model_name, field_name; methods: model_name, method_name.  A candidate without fields
+    or with fewer than min_methods ranked methods is noted with its reason instead."""
+    wide = candidates.join(curated.select("model"), "model", "left_anti")
+    owned = fields.groupBy(F.col("model_name").alias("model")).agg(F.collect_set("field_name").alias("_fields"))
+    usable = methods.where(is_public(F.col("method_name")) & is_action(F.col("method_name"))).select(F.col("model_name").alias("model"), "method_name").distinct()
+    ranked = top_methods(usable, "model", "method_name", k).join(wide.select("model", "label"), "model")
+    entry = F.struct("rank", F.col("method_name").alias("name"), intent_of(F.col("method_name"), F.col("label")).alias("intent"))
+    listed = ranked.groupBy("model").agg(F.array_sort(F.collect_list(entry)).alias("_ranked"))
+    full = wide.join(owned, "model", "left").join(listed, "model", "left")
+    searched = F.slice(F.filter(F.array(*map(F.lit, preferred)), lambda f: F.array_contains("_fields", f)), 1, 7)
+    why = F.when(F.col("_fields").isNull(), "no fields known").when(F.coalesce(F.size("_ranked"), F.lit(0)) < min_methods, "no method left")
+    full = full.withColumn("reason", why)
+    specs = full.where("reason is null").select(
+        "model", "label", "domain",
+        F.transform("_ranked", lambda m: F.struct(m["name"].alias("name"), m["intent"].alias("intent"))).alias("methods"),
+        F.when(F.size(searched) > 0, searched).otherwise(F.array(F.lit("id"), F.lit("display_name"))).alias("search_fields"),
+        F.when(F.array_contains("_fields", "state"), "state").alias("state_field"),
+        F.lit(1).alias("weight"), F.lit("B").alias("tier"),
+    )
+    return specs, full.where("reason is not null").select("model", "reason")

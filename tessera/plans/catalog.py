@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import gate, query_api, relations, sampling, summaries
+from ..operators import call_checks, facts, gate, generation, query_api, relations, sampling, scoring, summaries
+from ..sources import catalogs
+from ..sources.jsonl import MESSAGE
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -470,3 +472,101 @@ def missing(spark, d):
 def draws(spark, d):
     i = F.col("index")
     return spark.range(10_000).select(F.col("id").alias("index")).select("index", sampling.draw("20260317", i, "model", 20).alias("model"), sampling.draw("20260317", i, "persona", 20).alias("persona"), sampling.draw("20260317", i, "situation", 89).alias("situation"))
+
+
+# -- calls, scores, generated samples -----------------------------------------------------------
+
+
+@query("qg22_messages_json", "select conv_id, (length(to_json(list({'role': role, 'content': text} order by turn))::varchar) + 4 * count(*) - 1)::bigint as json_chars from conversations where text is not null group by 1")
+def messages_json(spark, d):
+    turns = table(spark, d, "conversations").where("text is not null")
+    turn = F.struct(F.col("role").alias("role"), F.col("text").alias("content"), F.lit(None).alias("tool_calls"), F.lit(None).alias("tool_call_id"))
+    ordered = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", turn.cast(MESSAGE).alias("m")))).alias("t"))
+    return ordered.select("conv_id", call_checks.message_json_length(F.transform("t", lambda t: t["m"])).cast("bigint").alias("json_chars"))
+
+
+def _call_row(name: str, args, text=None):
+    """A message with one call, or with text only where the arguments are null."""
+    made = F.array(F.struct(F.lit("c").alias("id"), F.lit("function").alias("type"), F.struct(F.lit(name).alias("name"), args.alias("arguments")).alias("function")))
+    return F.struct(F.lit("assistant").alias("role"), (F.lit("") if text is None else text).alias("content"), F.when(args.isNotNull(), made).alias("tool_calls"), F.lit(None).alias("tool_call_id")).cast(MESSAGE)
+
+
+@query(
+    "qg18_call_reasons",
+    "with c as (select distinct 'u' || (user_id % 7) as model, event_type as method from events where event_id % 2 = 0 and user_id % 7 < 5 and event_id % 3 = 0), "
+    "e as (select event_id, event_id % 11 = 0 as bad, 'u' || (user_id % 7) as model, event_type as method from events), "
+    "r as (select event_id, case when bad then 'bad_tool_args' when model not in (select model from c) then 'unknown_model' when not exists (select 1 from c where c.model = e.model and c.method = e.method) then 'hallucinated_method' end as reasons from e) select * from r where reasons is not null",
+)
+def call_reasons(spark, d):
+    model = F.concat(F.lit("u"), (F.col("user_id") % 7).cast("string"))
+    events = table(spark, d, "events").select("event_id", "user_id", model.alias("model"), F.col("event_type").alias("method"))
+    args = F.when(F.col("event_id") % 11 == 0, "[1, 2]").otherwise(F.to_json(F.struct("model", "method")))
+    known = events.where("event_id % 2 = 0 and user_id % 7 < 5 and event_id % 3 = 0").select("model", "method")
+    found = call_checks.call_reasons(events.select("event_id", F.array(_call_row("tool_execute_method", args)).alias("messages")), "event_id", known)
+    return found.select("event_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query(
+    "agg08_first_actions",
+    "select count(*) as samples, count(*) filter (event_id % 3 = 0) as right_method, count(*) filter (event_id % 3 = 0) as emitted_structured_call, count(*) filter (event_id % 3 = 1) as no_call_when_needed, count(*) filter (event_id % 3 = 2) as call_recovered_from_text, "
+    "count(*) filter (event_id % 3 = 2) as fired_destructive, count(*) filter (event_id % 3 = 2 or (event_id % 3 = 0 and event_type not in ('click', 'view'))) as invented_method from events",
+)
+def first_actions(spark, d):
+    events = table(spark, d, "events").select("event_id", F.to_json(F.struct(F.lit("m").alias("model"), F.col("event_type").alias("method"))).alias("args"))
+    third = F.col("event_id") % 3
+    written = F.when(third == 2, '{"name": "tool_execute_method", "arguments": {"model": "m", "method": "cancel_all"}}').otherwise("Which one?")
+    pairs = events.select(_call_row("tool_execute_method", F.col("args")).alias("gold"), _call_row("tool_execute_method", F.when(third == 0, F.col("args")), F.when(third != 0, written).otherwise("")).alias("reply"))
+    surface = spark.createDataFrame([("m", ["click", "view"], ["id"])], "model string, methods array<string>, fields array<string>")
+    names = ("samples", "right_method", "emitted_structured_call", "no_call_when_needed", "call_recovered_from_text", "fired_destructive", "invented_method")
+    return scoring.score(pairs, surface, ["tool_execute_method"]).select(*names)
+
+
+_NAMES = ("action_confirm", "button_done", "action_mass_cancel", "send_all", "do_magic")
+
+
+@query(
+    "txt09_intents",
+    "select o_orderkey, case o_orderkey % 5 when 0 then 'confirm the ' || o_orderstatus when 1 then 'complete the ' || o_orderstatus when 2 then 'cancel the ' || o_orderstatus || ' (mass cancel)' when 3 then 'send the ' || o_orderstatus || ' (send all)' else 'deal with the ' || o_orderstatus || ' — specifically, do magic' end as intent from orders",
+)
+def intents(spark, d):
+    name = F.get(F.array(*map(F.lit, _NAMES)), (F.col("o_orderkey") % 5).cast("int"))
+    return table(spark, d, "orders").select("o_orderkey", relations.intent_of(name, F.col("o_orderstatus")).alias("intent"))
+
+
+@query("prj13_questions", "select s_suppkey, case when s_suppkey % 2 = 0 then 'How does ' || s_name || ' link to ' || n_name || '?' else 'Which field joins a supplier to ' || n_name || '?' end as question from supplier join nation on s_nationkey = n_nationkey")
+def questions(spark, d):
+    rows = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    return rows.select("s_suppkey", facts.question(F.lit("relation"), F.col("s_suppkey"), model=F.col("s_name"), label=F.lit("supplier"), target=F.col("n_name")).alias("question"))
+
+
+def _star_catalog(spark):
+    """The star schema as a small catalog: specifications, personas, situations."""
+    step = lambda name, a, b: {"name": name, "intent": name.replace("_", " "), "from_state": a, "to_state": b, "kwargs": "{}", "failures": [{"exc": "UserError", "message": "{ref} is locked."}], "returns_action": False}
+    rows = [
+        ("orders", "order", "sales", ["clerk"], [step("action_confirm", "O", "F"), step("action_cancel", "F", "cancel")], {"o_custkey": "partner_ref", "o_orderdate": "date_future"}, ["name", "partner_id", "state", "amount_total", "date"], "state", "ORD", 3, "A"),
+        ("part", "part", "stock", ["keeper"], [step("action_apply", None, None)], {"p_name": "product_name"}, ["name", "quantity", "categ_id"], None, "PRT", 1, "B"),
+    ]
+    return (
+        spark.createDataFrame(rows, catalogs.SPEC),
+        spark.createDataFrame([("clerk", "Ann", "brief"), ("keeper", "Bo", "plain")], catalogs.PERSONA),
+        spark.createDataFrame([(None, "sales", "late order"), ("part", "stock", "lost part")], catalogs.SITUATION),
+    )
+
+
+@query("gen06_trajectories")
+def trajectories(spark, d):
+    indices = table(spark, d, "events").select(F.col("event_id").alias("index"))
+    return generation.generate(indices, *_star_catalog(spark), "agent_trajectories").select("_meta.*", F.sha2(F.to_json("messages"), 256).alias("messages_sha256"))
+
+
+@query("gen07_reports")
+def reports(spark, d):
+    indices = table(spark, d, "events").select(F.col("event_id").alias("index"))
+    return generation.generate(indices, *_star_catalog(spark), "report_analysis").select("_meta.*", F.sha2(F.to_json("messages"), 256).alias("messages_sha256"))
+
+
+@query("gen09_fact_plan")
+def fact_plan(spark, d):
+    fields = spark.createDataFrame([("orders", "o_custkey", "Many2one", "customer", True), ("part", "p_name", "Char", None, True)], "model_name string, field_name string, field_type string, comodel_name string, required boolean")
+    found = facts.derive(_star_catalog(spark)[0], fields, edges(spark).select("source_model", "target_model", F.lit("Many2one").alias("rel_type"), "field_name"))
+    return facts.plan(found, "20260317").select(facts.fact_key().alias("fact"), "draw", "repetition", "question", F.sha2("grounding", 256).alias("grounding_sha256"))
