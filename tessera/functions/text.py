@@ -46,3 +46,37 @@ def sample_key(version: Column, *parts: Column) -> Column:
 
 def group_key(model: Column, method: Column) -> Column:
     return F.concat_ws("::", F.coalesce(model, F.lit("?")), F.coalesce(method, F.lit("?")))
+
+
+def scrub_think(c: Column, directive: str, least: int = 150) -> Column:
+    """struct(text, changed): clean_reasoning inside every think block, of which emptied ones go.
+    Text between blocks stays as it is; an unclosed block is no block."""
+    block = r"(?is)<think>.*?</think>"
+    gaps, blocks = F.split(c, block, -1), F.regexp_extract_all(c, F.lit(block), F.lit(0))
+
+    def cleaned(b: Column) -> Column:
+        inner = clean_reasoning(F.regexp_replace(b, r"(?i)^<think>|</think>$", ""), directive, least)
+        kept = F.when(inner["text"] == "", "").otherwise(F.concat(F.lit("<think>"), inner["text"], F.lit("</think>")))
+        return F.when(inner["removed"] == 0, b).otherwise(kept)
+
+    text = F.array_join(F.zip_with(gaps, F.transform(blocks, cleaned), lambda g, b: F.concat(g, F.coalesce(b, F.lit("")))), "")
+    return F.struct(text.alias("text"), (text != c).alias("changed"))
+
+
+def drop_chatty_tail(c: Column, chatty: str) -> Column:
+    """Text without the lines at its end that match the pattern or are empty."""
+    lines = F.split(c, "\n")
+    flags = F.transform(lines, lambda x: x.rlike(chatty) | (strip(x) == ""))
+    last = F.aggregate(F.sequence(F.lit(1), F.size(lines)), F.lit(0), lambda a, i: F.when(F.element_at(flags, i), a).otherwise(i))
+    return F.array_join(F.slice(lines, F.lit(1), last), "\n")
+
+
+def split_reasoning(c: Column) -> Column:
+    """struct(reasoning, answer): the first think block and the rest; without one the first third
+    of the text counts as reasoning."""
+    inside = F.regexp_extract(c, r"(?is)<think>(.*?)</think>", 1)
+    third = F.floor(F.length(c) / 3).cast("int")
+    has = c.rlike(r"(?is)<think>.*?</think>")
+    reasoning = F.when(has, strip(inside)).otherwise(F.substring(c, F.lit(1), third))
+    answer = F.when(has, strip(F.regexp_replace(c, r"(?is)^.*?<think>.*?</think>", ""))).otherwise(c)
+    return F.struct(reasoning.alias("reasoning"), answer.alias("answer"))
