@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_think
-from .gate import PLACEHOLDER, STATE_CLAIM, final_answer, unnegated_write
+from .gate import MAX_CHARS, PLACEHOLDER, STATE_CLAIM, final_answer, malformed, reasons, unnegated_write
 
 STATE_FIELDS = ("state", "status", "payment_state", "invoice_status")
 MUTATING = ("create", "write", "unlink", "execute_method")
@@ -107,3 +107,14 @@ def message_json_length(messages: Column) -> Column:
     return F.length(F.to_json(messages)) + spaces
 
 
+
+
+def all_reasons(messages: Column, product: str = "product", prefix: str = "tool_") -> Column:
+    """The text predicates and those on calls and results in one array; lengths are of the spaced
+    JSON form, and `malformed` alone ends the check.  An answer may be short or end anywhere where
+    the last assistant turn makes a call."""
+    last = F.try_element_at(F.filter(messages, lambda m: m["role"] == "assistant"), F.lit(-1))
+    acts = F.coalesce(F.size(last["tool_calls"]) > 0, F.lit(False))
+    texts = F.filter(reasons(messages, product, prefix), lambda r: (r != "over_length") & ~(acts & r.isin("thin_assistant_turn", "truncated")))
+    long = F.when(message_json_length(messages) > MAX_CHARS, F.array(F.lit("over_length"))).otherwise(F.array().cast("array<string>"))
+    return F.when(malformed(messages), F.array(F.lit("malformed"))).otherwise(F.concat(texts, transcript_reasons(messages, prefix), long))

@@ -91,3 +91,16 @@ def test_scorecard(spark):
         "samples": 5, "right_method": 1, "right_tool": 1, "asked_when_unsure": 1, "held_destructive": 0, "emitted_structured_call": 2,
         "invented_method": 1, "invented_field": 1, "no_call_when_needed": 1, "fired_destructive": 1, "call_recovered_from_text": 1,
     }
+
+
+def test_all_reasons(spark):
+    answer = "The transfer waits for stock that is due on Friday, so nothing needs to be done before then, and its state is now 'scrapped' as far as I see."
+    samples = [
+        [turn("user", "please show the transfer"), READ[1], turn("tool", "{}", None, "c9"), turn("assistant", answer)],
+        [turn("user", "please show the transfer"), turn("assistant", "word " * 7000 + ".")],
+        [turn("user", "alone")],
+        [turn("user", "please show the transfer"), turn("assistant", "Looking", [call("c1", "tool_search_read", {"model": "a"})])],
+        [turn("user", "please show the transfer"), turn("assistant", "Looking")],
+    ]
+    rows = frame(spark, *samples).select("id", call_checks.all_reasons(F.col("messages")).alias("r")).orderBy("id").collect()
+    assert [r["r"] for r in rows] == [["orphan_tool_result", "unsupported_state_claim"], ["over_length"], ["malformed"], [], ["thin_assistant_turn", "truncated"]]

@@ -111,3 +111,6 @@ def test_facts(spark, catalog):
     planned = facts.plan(found, "s").collect()
     assert sorted((r["model"], r["draw"]) for r in planned) == [("shop.item", i) for i in range(6)] + [("shop.order", i) for i in range(34)]
     assert not any("{" in r["question"] for r in planned) and all(r["repetition"] == r["draw"] // (7 if r["model"] == "shop.order" else 2) for r in planned)
+    told = facts.as_samples(facts.plan(found, "s"))
+    assert told.schema.simpleString() == SAMPLE.simpleString()
+    assert told.select("_meta.key").distinct().count() == 40 and told.where(gate.malformed(F.col("messages"))).count() == 0
