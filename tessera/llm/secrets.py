@@ -90,21 +90,23 @@ def scan_secrets(docs: DataFrame, text: str = "text", scope: int = SCOPE, keep_t
     struct(start, order, end, kind, part) in order of start, then kind; base has the strong
     patterns' spans, secrets also the linked weak ones.  Offsets are code points, ends exclusive.
 
-    A null text counts as empty and has no spans; weak candidates that overlap a strong span are
-    dropped; repeated rows are scanned each for itself; an empty table gives an empty result.
+    A null text counts as empty and has no spans; weak candidates that overlap a strong span link
+    others but are not reported themselves; repeated rows are scanned each for itself; an empty
+    table gives an empty result.
     """
-    own = docs.drop("base", "secrets", "_weak", "_row")
+    own = docs.drop("base", "secrets", "_weak", "_covered", "_row")
     whole = F.coalesce(F.col(text), F.lit(""))
     strong = [_spans(whole, *p, i) for i, p in enumerate(STRONG)]
     weak = [_spans(whole, *p, len(STRONG) + i) for i, p in enumerate(WEAK)]
     found = own.withColumns({"base": F.concat(*strong), "_weak": F.concat(*weak)})
-    found = found.withColumn("_weak", F.filter("_weak", lambda w: ~F.exists("base", lambda b: _overlaps(w, b))))
+    covered = lambda w: F.exists("base", lambda b: _overlaps(w, b))
+    found = found.withColumns({"_weak": F.filter("_weak", lambda w: ~covered(w)), "_covered": F.filter("_weak", covered)})
     found = found if keep_text else found.drop(text)
     found = materialize(found.withColumns({"base": F.array_sort("base"), "_row": F.monotonically_increasing_id()}), "secrets")
 
     open_ = found.where("size(_weak) > 0")
     weak = open_.select("_row", F.inline("_weak"))
-    parts = weak.unionByName(open_.select("_row", F.inline("base")))
+    parts = weak.unionByName(open_.select("_row", F.inline("base"))).unionByName(open_.select("_row", F.inline("_covered")))
     bins = lambda lo, hi: F.explode(F.sequence(F.floor(lo / scope), F.floor(hi / scope)))
     parts = parts.where("part <> 'endpoint'").select(F.col("_row").alias("p_row"), F.col("part").alias("p_part"), F.col("start").alias("p_start"), F.col("end").alias("p_end"), bins(F.col("start"), F.col("end")).alias("p_bin"))
     seeking = weak.withColumn("needs", F.expr("case part when 'identifier' then array('secret') when 'secret' then array('identifier') else array('identifier', 'secret') end"))
@@ -114,7 +116,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", scope: int = SCOPE, keep_t
     linked = met.where("got = n").groupBy("_row").agg(F.collect_list(F.struct("start", "order", "end", "kind", "part")).alias("_linked"))
     more = F.coalesce("_linked", F.array().cast(_SPAN))
     joined = found.join(linked, "_row", "left")
-    return joined.withColumn("secrets", F.array_sort(F.concat("base", more))).drop("_row", "_weak", "_linked")
+    return joined.withColumn("secrets", F.array_sort(F.concat("base", more))).drop("_row", "_weak", "_covered", "_linked")
 
 
 def span_text(spans: Column | str) -> Column:

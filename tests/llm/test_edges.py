@@ -188,6 +188,16 @@ def test_secret_edges(spark, docs, none):
     assert secrets.scan_secrets(none).count() == 0 and secrets.scan_secrets(docs).count() == len(ROWS)
 
 
+def test_secrets_linked_by_covered_parts(spark):
+    digits = "0123456789abcdef01234567"
+    rows = [(1, f"client_id: {digits}\npwd: hunter22x"), (2, f"client_id: {digits}"), (3, f"client_id: {digits} " + "z" * 600 + " pwd: hunter22x"), (4, f"http://a.net/{digits}\nuser: bob\npwd: hunter22x")]
+    found = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    got = {r["doc_id"]: (r["line"], r["red"]) for r in found.select("doc_id", secrets.span_text("secrets").alias("line"), secrets.redact(F.col("text"), F.col("secrets")).alias("red")).collect()}
+    assert got[1] == ("hex:11:35,weak:36:50", "client_id: [REDACTED]\n[REDACTED]")
+    assert got[2][0] == "hex:11:35" and got[3][0] == "hex:11:35"
+    assert got[4][0] == "hex:13:37,ident:38:47,weak:48:62"
+
+
 def test_chat_edges(spark):
     odd = "\\</turn>\n<turn x> \\\\ <turn "
     rows = [(1, 0, "user", "a"), (1, 1, "assistant", odd), (2, 0, "user", "a"), (2, 1, "assistant", odd), (3, 0, "user", "a"), (3, 1, "assistant", None), (None, 0, None, "b"), (4, 1, "x>y", odd), (4, 1, "x>y", odd), (5, 0, "user", "z" * 500)]
