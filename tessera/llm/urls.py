@@ -9,8 +9,12 @@ an alias is blocked, else allowed.
 
 from __future__ import annotations
 
+import html as markup
+import re
 import string
+from urllib.parse import urljoin, urlsplit
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +23,10 @@ from .components import connected_components
 from .store import materialize
 
 ALLOW, BLOCK = "allow", "block"
-CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
-REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["']?[^>"']*?url\s*=\s*([^"'\s>]+)"""
+TAG = r"(?i)<(?:base|link|meta)\b[^>]*"
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)\s*=\s*("[^"]*"?|'[^']*'?|[^\s"'>]+)""")
+#: seconds, then a target after "url=" or without it, quoted or not
+_REFRESH = re.compile(r"""(?is)^\s*[\d.]*\s*[;,]?\s*(?:url\s*=\s*)?(?:"([^"]*)|'([^']*)|(.*))""")
 
 
 def _ascii_lower(c: Column) -> Column:
@@ -38,9 +44,10 @@ def path_of(url: Column) -> Column:
 
 
 def address(url: Column) -> Column:
-    """What tells a page for redirects: host, path and query, whatever scheme and fragment."""
+    """What tells a page for redirects: host, path and query, whatever scheme and fragment; an empty
+    path is /."""
     rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
-    return F.when(url.contains("://"), F.concat(host_of(url), rest))
+    return F.when(url.contains("://"), F.concat(host_of(url), F.when(rest.startswith("/"), "").otherwise("/"), rest))
 
 
 def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
@@ -55,21 +62,54 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return out
 
 
+def _attributes(tag: str) -> dict[str, str]:
+    """Names in lower case and unescaped values; the first of a name counts."""
+    out: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(tag):
+        out.setdefault(name.lower(), markup.unescape(value.strip(value[0]) if value[0] in "\"'" else value))
+    return out
+
+
+def _resolve(base: str, target: str) -> str | None:
+    """The target as a whole url without dot segments, None if it is no url."""
+    try:
+        whole = urljoin(base, "".join(c for c in target.strip() if c not in "\t\n\r"))
+        path = urlsplit(whole).path
+        return urljoin(whole, whole[whole.index(path, whole.index("://") + 3) :]) if "/." in path else whole
+    except ValueError:
+        return None
+
+
+def targets_of(url: str, tags: list[str]) -> list[str]:
+    """Whole urls of the canonical links and refresh redirects among a page's tags, resolved against
+    its first base address."""
+    base, found = None, []
+    for tag in tags:
+        name, own = re.match(r"<(\w+)", tag)[1].lower(), _attributes(tag)
+        if name == "base":
+            base = base or own.get("href")
+        elif name == "link" and "canonical" in own.get("rel", "").lower().split():
+            found.append(own.get("href", ""))
+        elif name == "meta" and own.get("http-equiv", "").strip().lower() == "refresh":
+            found.append(next(filter(None, _REFRESH.match(own.get("content", "")).groups()), ""))
+    start = (_resolve(url, base) if base else None) or url
+    return [whole for t in found if t.strip() and (whole := _resolve(start, t))]
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _targets(urls: pa.Array, tags: pa.Array) -> pa.Array:
+    return pa.array([targets_of(u, t) for u, t in zip(urls.to_pylist(), tags.to_pylist())], pa.list_(pa.string()))
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(u, v) addresses: canonical links and refresh redirects of each page, absolute or from the
-    root of its host."""
-    head = F.col(html)
-    targets = F.array(F.regexp_extract(head, CANONICAL, 1), F.regexp_extract(head, REFRESH, 1))
-    found = pages.select(F.col(url).alias("url"), head.alias("html")).where("url is not null and html is not null")
+    """(u, v) addresses: all canonical links and refresh redirects of each page, resolved against
+    its url (or its base element)."""
+    found = pages.select(F.col(url).alias("url"), F.col(html).alias("html")).where("url is not null and html is not null")
     found = found.where(F.expr("html ilike '%canonical%' or html ilike '%refresh%'"))
-    pairs = found.select("url", F.explode(targets).alias("target")).where("target <> ''")
-    scheme = F.regexp_extract("url", r"(?s)^(.*?)://", 1)
-    whole = (
-        F.when(F.col("target").contains("://"), F.col("target"))
-        .when(F.col("target").startswith("//"), F.concat(scheme, F.lit(":"), "target"))
-        .when(F.col("target").startswith("/"), F.concat(scheme, F.lit("://"), host_of(F.col("url")), F.col("target")))
-    )
-    return pairs.select(address(F.col("url")).alias("u"), address(whole).alias("v")).dropna()
+    found = found.select("url", F.regexp_extract_all("html", F.lit(TAG), F.lit(0)).alias("tags"))
+    found = found.where(F.exists("tags", lambda t: t.rlike("(?i)canonical|refresh")))
+    pairs = found.select("url", F.explode(_targets("url", "tags")).alias("target"))
+    return pairs.select(address(F.col("url")).alias("u"), address(F.col("target")).alias("v")).dropna()
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], links: DataFrame | None = None, url: str = "url", html: str | None = "html") -> DataFrame:

@@ -123,6 +123,26 @@ def test_urls_edges(spark):
     assert urls.judge_urls(df.limit(0), rules).count() == 0
 
 
+def test_urls_resolved_links(spark):
+    link, refresh = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="{}">'
+    heads = [
+        link.format("next.html"), link.format("../x"), link.format("?id=3"), refresh.format("0; url='http://bad.net/q'"), "<meta content='5;URL=\"http://bad.net/q\"' http-equiv=Refresh>", refresh.format("0; url=../x"),
+        link.format("http://m.org/") + link.format("http://bad.net/q"), refresh.format("9; url=http://m.org/") + refresh.format("0; url=http://bad.net/q"), link.format("http://bad.net/a?b=1&amp;c=2"), link.format("http://bad.net"),
+        '<base href="http://bad.net/d/">' + link.format("e.html"), link.format("http://bad.net/z/../q"), link.format("go?to=http://m.org/"),
+    ]
+    bad = ["http://p0.org/a/next.html", "http://p1.org/x", "http://p2.org/a/b?id=3", "http://bad.net/q", "http://bad.net/a?b=1&c=2", "http://bad.net/", "http://bad.net/d/e.html", "http://p5.org/x", "http://p12.org/a/go?to=http://m.org/"]
+    rows = [(i, f"http://p{i}.org/a/b", h) for i, h in enumerate(heads)] + [(50, "http://p50.org/a/b", link.format("mailto:x@y.z")), (51, "http://p51.org/a/b", link.format("http://[x/"))]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    rules = [(b.split("://")[1].split("/")[0], "/" + b.split("/", 3)[3].split("?")[0], "block") for b in bad]
+    got = {r["page_id"]: (r["verdict"], r["decided_by"]) for r in urls.judge_urls(df, [r for r in rules if r[:2] != ("p2.org", "/a/b")]).collect()}
+    want = {i: ("block", "alias") for i in range(len(heads))} | {2: ("allow", "default"), 50: ("allow", "default"), 51: ("allow", "default")}
+    assert got == want
+    links = {(r["u"], r["v"]) for r in urls.page_links(df).collect()}
+    assert ("p2.org/a/b", "p2.org/a/b?id=3") in links and ("p8.org/a/b", "bad.net/a?b=1&c=2") in links and ("p6.org/a/b", "m.org/") in links
+    assert urls.judge_urls(df.limit(1), [], df.limit(1).selectExpr("'http://h' as u", "url as v")).count() == 1
+    assert df.limit(1).select(urls.address(F.lit("http://h")), urls.address(F.lit("HTTP://H/"))).first()[:] == ("h/", "h/")
+
+
 def test_language_edges(docs, none):
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.language_id(docs).collect()}
     assert got[3] == got[4] == got[5] == ("und", 0.0) and got[1][0] in ("en", "fr")
