@@ -1,11 +1,13 @@
 """Licence scans by a trained paragraph classifier, in DataFrame functions on the whole data path.
 
-The model is a multinomial logistic regression over binary word uni- and bigrams of a paragraph
-(a line of text), fitted on the driver to a bounded set of labelled paragraphs: notice templates
+A notice is a line or consecutive lines of a paragraph, which ends at a line without words once
+comment marks are gone; lines are joined where they hold word pairs of a template, over their ends
+too.  The model is a multinomial logistic regression over binary word uni- and bigrams, fitted on the driver to a bounded set of labelled paragraphs: notice templates
 of each family, varied by dropped words and surrounding text, against sentences that use the same
 words otherwise.  Features hold an anchor word, so a paragraph without one scores as the bias
 alone, which is the unknown class.  The threshold below which a paragraph is unknown is calibrated
-on held-out variants.  A family's predictions are confirmed by comparison with its templates.
+on held-out variants.  A family's predictions are confirmed by comparison with its templates, and
+of overlapping notices the one that is most like a template stays.
 """
 
 from __future__ import annotations
@@ -16,9 +18,10 @@ import random
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .secrets import _let, _running
 from .store import materialize
 
 UNKNOWN = "unknown"
@@ -51,11 +54,13 @@ TEMPLATES = {
         "This work is licensed under the GNU General Public License, version 2.",
         "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
         "SPDX-License-Identifier: GPL-2.0-only",
+        "Released under the GNU GPL version 2.",
     ),
     "lgpl": (
         "Licensed under the GNU Lesser General Public License.",
         "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
         "SPDX-License-Identifier: LGPL-3.0-only",
+        "Released under the GNU LGPL version 3.",
     ),
     "bsd": (
         "Released under the BSD License.",
@@ -67,6 +72,7 @@ TEMPLATES = {
         "Licensed under the Mozilla Public License, version 2.0.",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
+        "Released under the MPL version 2.0.",
     ),
     "cc-by": (
         "Licensed under CC BY 4.0.",
@@ -123,14 +129,29 @@ ANCHORS = (
     "public", "domain", "software", "foundation", "by-sa", "by-nc", "version",
 )
 WORD = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
+#: comment marks that are words; others hold no letter or digit
+COMMENT = r"(?m)^[^\S\n]*(?:dnl|rem)\b"
+#: names with a version as suffix, read as "gpl version 3"
+VERSIONED = r"(?<![a-z0-9])(apache|bsd|gpl|lgpl|mpl)(?:[ -]?v)?([0-9]+(?:\.[0-9]+)*)"
+_STOP = frozenset("a an and any as at by for from in is it no of on or that the this to under with you".split())
 
 
 def words_of(paragraph: str) -> list[str]:
-    return re.findall(WORD, paragraph.lower())
+    return re.findall(WORD, re.sub(VERSIONED, r"\1 version \2 ", re.sub(COMMENT, "", paragraph.lower())))
+
+
+def _pairs(words: list[str]) -> set[str]:
+    return {f"{a} {b}" for a, b in zip(words, words[1:])}
 
 
 def _parts(words: list[str]) -> set[str]:
-    return set(words) | {f"{a} {b}" for a, b in zip(words, words[1:])}
+    return set(words) | _pairs(words)
+
+
+#: words of the longest template
+_LONGEST = max(len(words_of(t)) for texts in TEMPLATES.values() for t in texts)
+#: word pairs that let lines be joined
+_JOINING = sorted(p for texts in TEMPLATES.values() for p in set().union(*(_pairs(words_of(t)) for t in texts)) if not _STOP.issuperset(p.split(" ")))
 
 
 def _is_anchor(word: str) -> bool:
@@ -235,29 +256,80 @@ def _templates(spark: SparkSession) -> DataFrame:
     return spark.sql(f"select * from values {rows} as t(family, template)")
 
 
+def _word_pairs(words: Column) -> Column:
+    return _let(words, lambda w: F.transform(F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))), lambda a, i: F.concat(a, F.lit(" "), F.get(w, i + 1))))
+
+
+def _lines(text: Column, gate: str) -> Column:
+    """struct(n, size, hit, words) of each line."""
+
+    def line(s: Column, i: Column) -> Column:
+        hit = s.rlike(gate)
+        low = F.lower(s)
+        plain = F.when(hit, F.regexp_replace(low, VERSIONED, "$1 version $2 ")).otherwise(low)
+        plain = F.when(low.rlike(COMMENT), F.regexp_replace(plain, COMMENT, "")).otherwise(plain)
+        return F.struct(i.alias("n"), F.length(s).cast("bigint").alias("size"), hit.alias("hit"), F.regexp_extract_all(plain, F.lit(WORD), F.lit(0)).alias("words"))
+
+    return F.transform(F.split(text, "\n", -1), line)
+
+
+def _marked(lines: Column) -> Column:
+    """The lines with start, and bears: words, and with the next words around a template's pair."""
+    joining = F.lit(_JOINING)
+    none = F.array().cast("array<string>")
+
+    def bears(l: Column, i: Column) -> Column:
+        around = F.concat(F.slice(F.coalesce(F.get(lines, i - 1)["words"], none), -1, 1), l["words"], F.slice(F.coalesce(F.get(lines, i + 1)["words"], none), 1, 1))
+        return (F.size(l["words"]) > 0) & F.arrays_overlap(_word_pairs(around), joining)
+
+    def over(starts: Column) -> Column:
+        return F.transform(lines, lambda l, i: F.struct(l["n"].alias("n"), F.get(starts, i).alias("start"), (F.get(starts, i) + l["size"]).alias("end"), l["hit"].alias("hit"), l["words"].alias("words"), bears(l, i).alias("bears")))
+
+    return _let(_running(F.transform(lines, lambda l: l["size"] + 1)), over)
+
+
+def _notices(lines: Column) -> Column:
+    """struct(paragraph, last, start, end, words): lines with an anchor, and runs of lines that a
+    template may cover, with less than its words between the first and the last line."""
+
+    def notice(first: Column, last: Column, words: Column) -> Column:
+        return F.struct(first["n"].alias("paragraph"), last["n"].alias("last"), first["start"].alias("start"), last["end"].alias("end"), words.alias("words"))
+
+    def from_line(first: Column) -> Column:
+        def over(rest: Column) -> Column:
+            def fits(last: Column, k: Column) -> Column:
+                inner, tail = F.slice(rest, F.lit(1), k), F.slice(rest, F.lit(1), k + 1)
+                few = F.aggregate(inner, F.lit(0), lambda a, l: a + F.size(l["words"])) < _LONGEST
+                return F.forall(tail, lambda l: l["bears"]) & few & (first["hit"] | F.exists(tail, lambda l: l["hit"]))
+
+            return F.transform(F.filter(rest, fits), lambda last: notice(first, last, F.concat(first["words"], F.flatten(F.transform(F.slice(rest, F.lit(1), last["n"] - first["n"]), lambda l: l["words"])))))
+
+        return _let(F.slice(lines, first["n"] + 2, F.lit(_LONGEST + 1)), over)
+
+    single = F.transform(F.filter(lines, lambda l: l["hit"]), lambda l: notice(l, l, l["words"]))
+    return F.concat(single, F.flatten(F.transform(F.filter(lines, lambda l: l["bears"]), from_line)))
+
+
 def scan_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, similarity: float = SIMILARITY, model: LicenceModel | None = None) -> DataFrame:
-    """Licence notices: doc_id, paragraph (line number from 0), start, end (code points), family,
-    probability, similarity (share of the closest template's words and word pairs found in the
-    paragraph), confirmed (similarity reached).
+    """Licence notices: doc_id, paragraph (number of the first line, from 0), start, end (code
+    points), family, probability, similarity (share of the closest template's words and word pairs
+    found in the notice), confirmed (similarity reached).
 
-    A row for each paragraph that is classified as a family; paragraphs below the calibrated
-    threshold are unknown and give none.  Null and empty texts have no paragraphs; rows of null id
+    A row for each notice that is classified as a family; those below the calibrated threshold are
+    unknown and give none, and of notices that share a line the confirmed one, then the closest to
+    a template by Dice's coefficient stays.  Null and empty texts have no notices; rows of null id
     and repeated rows are scanned each for itself; an empty table gives an empty result; other
     columns are not read.
     """
     spark = docs.sparkSession
     model = model or fit()
     anchors = "|".join(re.escape(a) for a in sorted(set(ANCHORS), key=lambda a: (-len(a), a)))
-    gate = rf"(?i)(?<![a-z0-9])(?:{anchors})(?![a-z0-9])"
-    lines = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.col("text").rlike(gate))
-    lines = lines.select("doc_id", F.split("text", "\n", -1).alias("lines"))
-    lines = lines.select("doc_id", F.filter(F.transform("lines", lambda s, i: F.struct(i.alias("paragraph"), s.alias("line"))), lambda s: s["line"].rlike(gate)).alias("hits"), F.transform("lines", lambda s: F.length(s)).alias("sizes"))
-    hits = lines.select("doc_id", "sizes", F.inline("hits"))
-    start = F.aggregate(F.slice("sizes", F.lit(1), F.col("paragraph")), F.lit(0).cast("bigint"), lambda a, v: a + v + 1)
-    words = F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0))
-    hits = hits.select("doc_id", "paragraph", start.alias("start"), F.length("line").alias("size"), words.alias("words"))
-    pairs = F.transform(F.slice("words", F.lit(1), F.greatest(F.size("words") - 1, F.lit(0))), lambda a, i: F.concat(a, F.lit(" "), F.get("words", i + 1)))
-    hits = hits.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "paragraph", "start", (F.col("start") + F.col("size")).alias("end"), F.array_distinct(F.concat("words", pairs)).alias("grams"))
+    gate = rf"(?i)(?<![a-z0-9])(?:{anchors})(?:v?[0-9][0-9.]*)?(?![a-z0-9])"
+    found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.col("text").rlike(gate))
+    found = found.withColumn("_doc", F.monotonically_increasing_id())
+    notices = _let(_lines(F.col("text"), gate), lambda lines: _let(_marked(lines), _notices))
+    hits = found.select("doc_id", "_doc", F.inline(notices))
+    hits = hits.select(F.monotonically_increasing_id().alias("_row"), "_doc", "doc_id", "paragraph", "last", "start", "end", F.array_distinct(F.concat("words", _word_pairs(F.col("words")))).alias("grams"))
     hits = materialize(hits, "paragraphs")
     scored = hits.select("_row", F.explode("grams").alias("gram")).join(F.broadcast(_weights(spark, model)), "gram")
     sums = [F.sum(F.get("w", F.lit(k))) for k in range(len(model.families))]
@@ -267,7 +339,12 @@ def scan_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     names = F.array(*[F.lit(f) for f in model.families])
     scored = scored.withColumn("family", F.get(names, F.col("k").cast("int") - 1)).where((F.col("family") != UNKNOWN) & (F.col("probability") >= model.threshold))
     found = hits.join(scored.select("_row", "family", "probability"), "_row").join(F.broadcast(_templates(spark)), "family")
-    alike = F.size(F.array_intersect("template", "grams")) / F.size("template")
-    keys = ["_row", "doc_id", "paragraph", "start", "end", "family", "probability"]
-    found = found.groupBy(*keys).agg(F.max(alike).alias("similarity"))
-    return found.withColumn("confirmed", F.col("similarity") >= similarity).drop("_row")
+    common = F.size(F.array_intersect("template", "grams"))
+    keys = ["_row", "_doc", "doc_id", "paragraph", "last", "start", "end", "family", "probability"]
+    found = found.groupBy(*keys).agg(F.max(common / F.size("template")).alias("similarity"), F.max(2 * common / (F.size("template") + F.size("grams"))).alias("dice"))
+    found = found.withColumn("confirmed", F.col("similarity") >= similarity)
+    order = [(~F.col("confirmed")).alias("o1"), (-F.col("dice")).alias("o2"), (F.col("last") - F.col("paragraph")).alias("o3"), (-F.col("probability")).alias("o4")]
+    ranked = found.groupBy("_doc").agg(F.array_sort(F.collect_list(F.struct(*order, "paragraph", "last", "doc_id", "start", "end", "family", "probability", "similarity", "confirmed"))).alias("all"))
+    apart = lambda a, c: (a["last"] < c["paragraph"]) | (c["last"] < a["paragraph"])
+    kept = F.aggregate("all", F.slice("all", 1, 0), lambda own, c: F.when(F.forall(own, lambda a: apart(a, c)), F.concat(own, F.array(c))).otherwise(own))
+    return ranked.select(F.inline(kept)).select("doc_id", "paragraph", "start", "end", "family", "probability", "similarity", "confirmed")

@@ -158,6 +158,25 @@ def test_licence_edges(spark, docs, none):
     assert licenses.scan_licences(none).count() == 0
 
 
+def test_licences_over_lines(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version {} of the License, or\n# (at your option) any later version.\n#\n# It has no warranty."
+    words = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+    rows = [
+        (1, bsd), (2, gpl.format(3)), (3, gpl.format(2)), (4, "Released under the GPLv3."), (5, "Released under the GPLv2."), (6, "dnl " + words.replace(" ", "\ndnl ")), (7, "The end.\nReleased under the MIT\n\nLicense. Not here"),
+        (8, "SPDX-License-Identifier: MIT\nSPDX-License-Identifier: Apache-2.0\nAll rights reserved."), (9, "Released under the LGPLv3."),
+    ]
+    got = {}
+    for r in licenses.scan_licences(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        if r["confirmed"]:
+            got.setdefault(r["doc_id"], []).append((r["start"], r["end"], r["family"]))
+    assert got[1] == [(0, len(bsd), "bsd")] and got[6] == [(0, len(rows[5][1]), "mit")]
+    assert [f for *_, f in got[2]] == ["gpl-3.0"] and [f for *_, f in got[3]] == ["gpl-2.0"]
+    assert [got[i][0][2] for i in (4, 5, 9)] == ["gpl-3.0", "gpl-2.0", "lgpl"]
+    assert sorted(got[8]) == [(0, 28, "mit"), (29, 64, "apache-2.0"), (65, 85, "proprietary")]
+    assert all(end <= 31 for _, end, _ in got.get(7, []))
+
+
 def test_packing_edges(docs, none):
     got = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True, capacity=64).collect()
     assert sum(r["piece"] == 0 for r in got) == len(ROWS)
