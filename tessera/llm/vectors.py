@@ -98,7 +98,17 @@ def table_count(d: int, cosine: float, hashes: int, probes: int, miss: float = M
     found = float((ca[:, :, :, None] == cb[:, :, None, :]).any(axis=(2, 3)).mean())
     if found >= 1:
         return 1
-    return min(MAX_TABLES - 4, max(1, math.ceil(math.log(miss) / math.log(1 - max(found, 1e-3)))))
+    return max(1, math.ceil(math.log(miss) / math.log1p(-max(found, 1e-9))))
+
+
+def plan(d: int, cosine: float, hashes: int, probes: int, miss: float = MISS) -> tuple[int, int]:
+    """(hashes, tables): `hashes` or fewer, with which the tables that the miss rate asks for are
+    not too many; without hashes all vectors share one bucket and no pair is missed."""
+    for h in range(hashes, 0, -1):
+        tables = table_count(d, cosine, h, probes, miss)
+        if tables <= MAX_TABLES - 4:
+            return h, tables
+    return 0, 1
 
 
 def hash_count(vectors: int, d: int, probes: int = PROBES, occupancy: int = OCCUPANCY) -> int:
@@ -124,12 +134,12 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     facts = classes.select(F.size("x").alias("d")).groupBy("d").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(64).collect()
     shapes = {r["d"]: (hash_count(r["n"], r["d"], probes), r["n"]) for r in facts}
     most = max((h for h, _ in shapes.values()), default=1)
-    tables = {d: table_count(d, cosine, h, probes, miss) for d, (h, _) in shapes.items()}
+    plans = {d: plan(d, cosine, h, probes, miss) for d, (h, _) in shapes.items()}
 
     def codes_of(x: np.ndarray) -> np.ndarray:
         d = x.shape[1]
-        h = shapes.get(d, (most, 0))[0]
-        return bucket_codes(x, tables.get(d) or table_count(d, cosine, h, probes, miss), h, probes)
+        h, tables = plans.get(d) or plan(d, cosine, most, probes, miss)
+        return bucket_codes(x, tables, h, probes)
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

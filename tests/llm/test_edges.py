@@ -108,6 +108,18 @@ def test_vectors_edges(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_loose_cosine_misses_nothing(spark):
+    assert vectors.table_count(64, 0.3, 3, 4) > vectors.MAX_TABLES - 4
+    h, tables = vectors.plan(64, 0.3, 3, 4)
+    assert tables <= vectors.MAX_TABLES - 4 and (h, tables) == ((h, vectors.table_count(64, 0.3, h, 4)) if h else (0, 1))
+    x = np.random.default_rng(6).standard_normal((60, 24))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.1
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    assert {r["vec_id"]: r["n_links"] for r in vectors.near_vectors(df, cosine=0.1, probes=2, block=16).collect()} == dict(enumerate(near.sum(1).tolist()))
+
+
 def test_urls_edges(spark):
     link = '<head><link rel="canonical" href="{}"></head>'
     rows = [
