@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .streams import text_slices
+from .workers import Memo, lean, resident
 
-MEMO_ENTRIES = 300_000
+MEMO = 32 << 20
 MEMO_BYTES = 256
 FRAGMENTS_AT_ONCE = 400_000
 _CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -62,11 +63,15 @@ class ForcedBoundaryBPE:
         pre = layout.get("pre_tokenizer") or {}
         if layout.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
             raise ValueError("forced boundaries need a plain byte-level tokenizer without normaliser or prefix space")
+        tokens = layout.get("added_tokens", [])
+        if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in tokens):
+            raise ValueError("forced boundaries need added tokens that do not depend on their surroundings")
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         alphabet = byte_alphabet()
-        added = {t["content"] for t in layout.get("added_tokens", [])}
+        added = {t["content"] for t in tokens}
+        self.added = re.compile("|".join(map(re.escape, sorted(added))) if added else r"(?!)").search
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.table: list[bytes] = [b""] * (max(vocab.values(), default=-1) + 1)
         for token, i in vocab.items():
@@ -81,7 +86,7 @@ class ForcedBoundaryBPE:
         cut[:, ord("'")] = False
         cut[:, 0x80:0xC0] = False  # never inside a character
         self.cut = cut.ravel()
-        self.memo: dict[bytes, bytes] = {}
+        self.memo = Memo(MEMO)
 
     def boundaries(self, data: np.ndarray) -> np.ndarray:
         """Positions of the certain cuts in the bytes of valid UTF-8 text."""
@@ -108,17 +113,20 @@ class ForcedBoundaryBPE:
         tokenize = self.tokenizer.model.tokenize
         for f in new:
             text = f.decode()
-            if len(f) <= MEMO_BYTES and _ONE_PRETOKEN(text) and b"<|" not in f:  # one word of the pattern: straight to the merges
-                memo[f] = np.array([t.id for t in tokenize(stand_in(text))], dtype=np.int32).tobytes()
+            if len(f) <= MEMO_BYTES and _ONE_PRETOKEN(text) and not self.added(text):  # one word of the pattern: straight to the merges
+                memo.put(f, np.array([t.id for t in tokenize(stand_in(text))], dtype=np.int32).tobytes())
             else:
                 rest.append(f)
         for lo in range(0, len(rest), 4_000):
             part = rest[lo : lo + 4_000]
             for f, e in zip(part, self.tokenizer.encode_batch([f.decode() for f in part], add_special_tokens=False)):
-                (memo if len(f) <= MEMO_BYTES else long)[f] = np.array(e.ids, dtype=np.int32).tobytes()
+                ids = np.array(e.ids, dtype=np.int32).tobytes()
+                if len(f) <= MEMO_BYTES:
+                    memo.put(f, ids)
+                else:
+                    long[f] = ids
         out = [memo[f] for f in fragments] if not long else [long[f] if f in long else memo[f] for f in fragments]
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
+        memo.bound()
         return out
 
     def encode(self, texts: pa.Array) -> pa.Array:
@@ -184,14 +192,8 @@ class ForcedBoundaryBPE:
         return pa.StringArray.from_buffers(len(lists), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data))
 
 
-_coders: dict[str, ForcedBoundaryBPE] = {}
-
-
 def _coder(key: str, spec) -> ForcedBoundaryBPE:
-    if key not in _coders:
-        _coders.clear()
-        _coders[key] = ForcedBoundaryBPE(spec.value)
-    return _coders[key]
+    return resident(key, lambda: ForcedBoundaryBPE(spec.value))
 
 
 class Bpe:
@@ -210,12 +212,12 @@ class Bpe:
 
         @F.arrow_udf(T.ArrayType(T.IntegerType(), False))
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for texts in batches:
+            for texts in lean(batches):
                 yield _coder(key, spec).encode(texts)
 
         @F.arrow_udf(T.StringType())
         def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for ids in batches:
+            for ids in lean(batches):
                 yield _coder(key, spec).decode(ids)
 
         self._encode, self._decode = encode, decode
@@ -238,7 +240,7 @@ class Bpe:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             coder = _coder(key, spec)
-            for batch in batches:
+            for batch in lean(batches):
                 for lo, hi in text_slices(batch.column(len(kept)), 1 << 20):
                     part = batch.slice(lo, hi - lo)
                     own = coder._encode(part.column(len(kept)))

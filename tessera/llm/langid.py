@@ -9,6 +9,7 @@ n-grams and sums them per text in numpy.
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .streams import text_slices
+from .workers import lean, resident, vacate
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -91,11 +93,12 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", *, buckets: int
     numbers at most; more labels than that raise ValueError."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vacate()
         sums: dict[str, np.ndarray] = {}
         rows_of: dict[str, int] = {}
-        for batch in batches:
+        for batch in lean(batches):
             labels = np.asarray(batch.column(1).to_pylist(), dtype=object)
-            for lo, hi in text_slices(batch.column(0)):
+            for lo, hi in text_slices(batch.column(0), 1 << 20):
                 texts = np.asarray(batch.column(0).slice(lo, hi - lo).to_pylist(), dtype=object)
                 for label in set(labels[lo:hi]):
                     mine = texts[labels[lo:hi] == label].tolist()
@@ -133,20 +136,17 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", *, buckets: int
     return LanguageModel(languages, matrix, priors, tuple(orders))
 
 
-
-
-
 def identify(spark: SparkSession, model: LanguageModel):
     """A column function: text to struct<lang_pred string, score double>."""
-    packed = spark.sparkContext.broadcast(pickle.dumps(model))
+    packed, key = spark.sparkContext.broadcast(pickle.dumps(model)), uuid.uuid4().hex
 
     @F.arrow_udf("lang_pred string, score double")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = pickle.loads(packed.value)
-        for column in batches:
+        own = resident(key, lambda: pickle.loads(packed.value))
+        for column in lean(batches):
             names: list[str] = []
             scores = []
-            for lo, hi in text_slices(column):
+            for lo, hi in text_slices(column, 1 << 20):
                 found, sure = own.predict(column.slice(lo, hi - lo).to_pylist())
                 names += found
                 scores.append(sure)

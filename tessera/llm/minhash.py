@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from .buckets import salt
 from .components import connected_components
 from .store import materialize, release
-from .streams import emit, grouped
+from .streams import emit, grouped, text_slices
+from .workers import lean, vacate
 
 REGISTERS = 256
 BASE = 1.001
@@ -150,11 +151,12 @@ def sketch(docs: DataFrame, doc_id: str, text: str, n: int, rows: int) -> DataFr
     """(doc_id, n_shingles, h1, h2, bands) of each document; h1 and h2 are the digest of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vacate()
         shingle = Shingler(n)
-        for batch in batches:
+        for batch in lean(batches):
             ids = batch.column(0)
-            for lo in range(0, batch.num_rows, 512):
-                texts = _as_binary(batch.column(1).slice(lo, 512))
+            for lo, hi in text_slices(batch.column(1), 1 << 20, 512):
+                texts = _as_binary(batch.column(1).slice(lo, hi - lo))
                 sizes, digests, low = [], [], np.zeros((len(texts), REGISTERS), dtype=np.uint32)
                 for i, t in enumerate(texts):
                     own = shingle(t)
@@ -165,7 +167,7 @@ def sketch(docs: DataFrame, doc_id: str, text: str, n: int, rows: int) -> DataFr
                 keys = band_keys(registers(low), rows)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(lo, 512),
+                        ids.slice(lo, hi - lo),
                         pa.array(sizes, pa.int64()),
                         pa.array(pairs[:, 0]),
                         pa.array(pairs[:, 1]),
@@ -182,14 +184,15 @@ def _full_sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, diges
     """(member, set, regs) of the wanted documents: their full shingle sets and registers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vacate()
         shingle = Shingler(n)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                sets = [shingle(t) for t in _as_binary(batch.column(1).slice(lo, 256))]
+        for batch in lean(batches):
+            for lo, hi in text_slices(batch.column(1), 1 << 20, 512):
+                sets = [shingle(t) for t in _as_binary(batch.column(1).slice(lo, hi - lo))]
                 regs = registers(np.stack([least(s) for s in sets]))
                 digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), dtype=np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, 256), pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([r.tobytes() for r in regs], pa.binary())],
+                    [batch.column(0).slice(lo, hi - lo), pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([r.tobytes() for r in regs], pa.binary())],
                     names=["member", "h1", "h2", "set", "regs"],
                 )
 

@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 from .bpe import LETTERS, stand_in
 from .store import materialize
 from .streams import text_slices
+from .workers import Memo, lean, resident
 
 CAPACITY = 2048
-MEMO_ENTRIES = 300_000
+MEMO = 24 << 20
 MEMO_BYTES = 128
 
 
@@ -127,16 +128,27 @@ def _joined(length: np.ndarray, rank: np.ndarray) -> np.ndarray:
 _LOW = "a-z\u00df-\u00f6\u00f8-\u00ff"
 _PLAIN = re.compile(rf"[!-~{LETTERS}]+").fullmatch
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LOW}]+|[0-9]|[^{_LOW}0-9]+").findall
-_KNOWN_LAYOUT = {"normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split", "ByteLevel"]}
+#: the normaliser and pre-tokeniser that the pieces above follow: fixed values
+_KNOWN_LAYOUT = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 
 
 class WordTokenizer:
     """Ids of whole texts by a tokenizer that drops white space, word by word with a memo.
 
-    Texts are split at ASCII white space only, all of which the tokenizer drops; normalisers of
-    such files work on characters and their neighbours within a word, so words are independent.
-    Words of ASCII and Latin-1 letters are cut by the file's pattern here and go straight to its
-    merges, piece by piece with a memo; all others take the tokenizer's whole path.
+    Texts are split at ASCII white space only, all of which the tokenizer drops; its normalisers
+    work on characters and their neighbours within a word, so words are independent.  Words of
+    ASCII and Latin-1 letters are cut by the file's pattern here and go straight to its merges,
+    piece by piece with a memo; all others take the tokenizer's whole path.  A file with another
+    normaliser, pattern or kind of added tokens is applied to whole texts.
     """
 
     def __init__(self, spec: str):
@@ -145,11 +157,13 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memo: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.memo = Memo(MEMO)
+        self.pieces = Memo(MEMO)
         layout = json.loads(spec)
-        kinds = lambda key, inner: [x["type"] for x in (layout.get(key) or {}).get(inner, [])]
-        self.plain = kinds("normalizer", "normalizers") == _KNOWN_LAYOUT["normalizer"] and kinds("pre_tokenizer", "pretokenizers") == _KNOWN_LAYOUT["pre_tokenizer"]
+        added = layout.get("added_tokens") or []
+        odd = any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") or len(t["content"].split()) != 1 for t in added)
+        self.plain = all(layout.get(k) == v for k, v in _KNOWN_LAYOUT.items()) and not odd
+        self.added = re.compile("|".join(sorted(re.escape(t["content"]) for t in added)) or r"(?!)").search
 
     def _plain_word(self, word: str) -> bytes:
         out = []
@@ -158,12 +172,21 @@ class WordTokenizer:
             if ids is None:
                 ids = np.array([t.id for t in self.tokenizer.model.tokenize(stand_in(piece))], dtype="<u4").tobytes()
                 if len(piece) <= MEMO_BYTES:
-                    self.pieces[piece] = ids
+                    self.pieces.put(piece, ids)
             out.append(ids)
         return b"".join(out)
 
+    def _whole(self, texts: list[bytes]) -> list[bytes]:
+        """By the tokenizer's whole path, some at a time."""
+        out = []
+        for lo in range(0, len(texts), 4_000):
+            out += [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch([t.decode() for t in texts[lo : lo + 4_000]], add_special_tokens=False)]
+        return out
+
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
+        if not self.plain:
+            return self._whole(texts)
         words = [t.split() for t in texts]
         memo = self.memo
         new = list({w for ws in words for w in ws}.difference(memo))
@@ -171,31 +194,28 @@ class WordTokenizer:
         rest = []
         for w in new:
             text = w.decode()
-            if self.plain and _PLAIN(text) and b"<|" not in w:
-                (memo if len(w) <= MEMO_BYTES else long)[w] = self._plain_word(text)
-            else:
+            if not (_PLAIN(text) and not self.added(text)):
                 rest.append(w)
-        if len(self.pieces) > MEMO_ENTRIES:
-            self.pieces.clear()
-        for lo in range(0, len(rest), 4_000):
-            part = rest[lo : lo + 4_000]
-            for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                (memo if len(w) <= MEMO_BYTES else long)[w] = np.array(e.ids, dtype="<u4").tobytes()
-        look = {**memo, **long} if long else memo
-        out = [b"".join(map(look.__getitem__, ws)) for ws in words]
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
+            elif len(w) <= MEMO_BYTES:
+                memo.put(w, self._plain_word(text))
+            else:
+                long[w] = self._plain_word(text)
+        self.pieces.bound()
+        for w, ids in zip(rest, self._whole(rest)):
+            if len(w) <= MEMO_BYTES:
+                memo.put(w, ids)
+            else:
+                long[w] = ids
+        if long:
+            out = [b"".join([long[w] if w in long else memo[w] for w in ws]) for ws in words]
+        else:
+            out = [b"".join(map(memo.__getitem__, ws)) for ws in words]
+        memo.bound()
         return out
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
-
-
 def _tokenizer(key: str, spec) -> WordTokenizer:
-    if key not in _tokenizers:
-        _tokenizers.clear()
-        _tokenizers[key] = WordTokenizer(spec.value)
-    return _tokenizers[key]
+    return resident(key, lambda: WordTokenizer(spec.value))
 
 
 PIECES = "chunk int, local_rank bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -216,7 +236,7 @@ def cut_pieces(docs: DataFrame, path: str, *, doc_id: str = "doc_id", text: str
         seen = [0] * (capacity + 1)
         tail = np.array([end_id], dtype="<u4").tobytes()
 
-        for batch in batches:
+        for batch in lean(batches):
             texts = pc.fill_null(batch.column(1), "")
             for lo, hi in text_slices(texts, 1 << 20):
                 names = batch.column(0).slice(lo, hi - lo).to_pylist()

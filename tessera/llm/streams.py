@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,16 +53,14 @@ def _batch(block: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def text_slices(column: pa.Array, most_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges of a string column that hold about most_bytes each (one row at least)."""
+def text_slices(column: pa.Array, most_bytes: int = 4 << 20, most_rows: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Row ranges of a string column that hold about most_bytes each (one row at least) and no
+    more than most_rows."""
     lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False))
     ends = np.cumsum(lengths)
     lo = 0
     while lo < len(column):
         floor = ends[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(ends, floor + most_bytes, side="right")))
+        hi = min(lo + most_rows, max(lo + 1, int(np.searchsorted(ends, floor + most_bytes, side="right"))))
         yield lo, hi
         lo = hi
-
-
-Kernel = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
