@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import langid, minhash, packing, secrets
-from tessera.llm.store import materialize
+from tessera.llm.store import materialize, release, scope
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 MIN_SCORE = 0.5
@@ -27,7 +27,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: that of the least doc_id (five-word
-    shingles, similarity 0.8)."""
+    shingles, similarity 0.8).  doc_id is the key of documents: rows that repeat one stay or go
+    together; rows of null id stay."""
     drop = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(drop, "doc_id", "left_anti").select(*COLUMNS)
 
@@ -57,8 +58,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read again."""
+    """All stages over documents, each written to the shared folder and read again; what only a
+    stage needed goes when it is written, and so does its input."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        before = docs
+        with scope():
+            result = stage(spark, docs, sf_dir)
+            docs = materialize(result, name, keep=True)
+        release(before)
     return docs
