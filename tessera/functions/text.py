@@ -14,7 +14,7 @@ def strip(c: Column) -> Column:
 
 def strip_think(c: Column) -> Column:
     """Text without <think> blocks."""
-    return F.regexp_replace(c, r"(?is)<think>.*?</think>", "")
+    return F.regexp_replace(c, r"(?s)<think>.*?</think>", "")
 
 
 def normalise(c: Column) -> Column:
@@ -25,7 +25,7 @@ def normalise(c: Column) -> Column:
 
 def think_balance(c: Column) -> Column:
     """Opened minus closed think tags."""
-    return F.regexp_count(c, F.lit("(?i)<think>")) - F.regexp_count(c, F.lit("(?i)</think>"))
+    return F.regexp_count(c, F.lit("<think>")) - F.regexp_count(c, F.lit("</think>"))
 
 
 def clean_reasoning(c: Column, directive: str, least: int = 150) -> Column:

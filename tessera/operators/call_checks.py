@@ -10,10 +10,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_think
-from .gate import MAX_CHARS, PLACEHOLDER, STATE_CLAIM, final_answer, malformed, reasons, unnegated_write
+from .gate import PLACEHOLDER, STATE_CLAIM, final_answer, unnegated_write
 
 STATE_FIELDS = ("state", "status", "payment_state", "invoice_status")
 MUTATING = ("create", "write", "unlink", "execute_method")
+#: Methods that every model has.
+UNIVERSAL = (
+    "create", "write", "unlink", "read", "search", "search_read", "search_count", "copy", "name_search", "read_group", "fields_get", "default_get",
+    "message_post", "toggle_active",
+)
+# End of fixed values.
 
 
 def calls(messages: Column) -> Column:
@@ -38,7 +44,8 @@ def reported_states(messages: Column) -> Column:
 
 def unsupported_state(messages: Column) -> Column:
     """Whether the answer names a record state that no tool result holds."""
-    said = F.regexp_extract_all(strip_think(final_answer(messages)), F.lit(STATE_CLAIM), F.lit(1))
+    answer = strip_think(final_answer(messages))
+    said = F.zip_with(*[F.regexp_extract_all(answer, F.lit(STATE_CLAIM), F.lit(g)) for g in (1, 2)], lambda a, b: F.when(a != "", a).otherwise(b))
     claims = F.filter(F.transform(said, lambda c: F.lower(F.trim(c, F.lit(" '\"`*.")))), lambda c: c != "")
     return F.size(F.array_except(claims, reported_states(messages))) > 0
 
@@ -50,6 +57,13 @@ def unmade_write(messages: Column, prefix: str = "tool_") -> Column:
     return (F.size(names) > 0) & ~F.coalesce(wrote, F.lit(False)) & unnegated_write(strip_think(final_answer(messages)))
 
 
+def method_index(methods: DataFrame) -> DataFrame:
+    """(model, method), once each: the methods of every model and those that all models have."""
+    own = methods.select("model", "method").where("model is not null and method is not null")
+    shared = own.select("model").distinct().select("model", F.explode(F.array(*map(F.lit, UNIVERSAL))).alias("method"))
+    return own.unionByName(shared).distinct()
+
+
 def transcript_reasons(messages: Column, prefix: str = "tool_") -> Column:
     """Failed predicates of a transcript's calls and results, in order."""
     checks = [("orphan_tool_result", orphan_results(messages)), ("unsupported_state_claim", unsupported_state(messages)), ("claimed_unmade_write", unmade_write(messages, prefix))]
@@ -60,7 +74,7 @@ def call_reasons(samples: DataFrame, key: str, methods: DataFrame | None = None,
     """(key, reasons) of the samples whose calls fail: bad_tool_args, unknown_model,
     hallucinated_method, placeholder_values.  A message's first failing call ends its check, so a
     sample lists one reason per failing message.  Without `methods` (model, method) the two
-    catalog checks are skipped."""
+    catalog checks are skipped; with it, the methods that every model has are known too."""
     turns = samples.select(F.col(key).alias("key"), F.posexplode(messages).alias("turn", "m"))
     long = turns.select("key", "turn", F.posexplode("m.tool_calls").alias("nth", "c")).select("key", "turn", "nth", F.col("c.function.name").alias("name"), F.col("c.function.arguments").alias("args"))
     parsed = F.schema_of_variant(F.try_parse_json("args"))
@@ -68,7 +82,7 @@ def call_reasons(samples: DataFrame, key: str, methods: DataFrame | None = None,
     long = long.withColumns({"bad": ~F.coalesce(parsed.startswith("OBJECT"), F.lit(False)), "model": model, "method": method})
     catalog = F.lit(None).cast("string")
     if methods is not None:
-        known = methods.select("model", "method").distinct().withColumn("has_method", F.lit(True))
+        known = method_index(methods).withColumn("has_method", F.lit(True))
         models = methods.select("model").distinct().withColumn("has_model", F.lit(True))
         long = long.join(models, "model", "left").join(known, ["model", "method"], "left")
         executes = F.col("name") == prefix + "execute_method"
@@ -105,16 +119,3 @@ def message_json_length(messages: Column) -> Column:
 
     spaces = F.aggregate(messages, F.lit(0), lambda a, m: a + of_message(m)) + F.greatest(F.size(messages) - 1, F.lit(0))
     return F.length(F.to_json(messages)) + spaces
-
-
-
-
-def all_reasons(messages: Column, product: str = "product", prefix: str = "tool_") -> Column:
-    """The text predicates and those on calls and results in one array; lengths are of the spaced
-    JSON form, and `malformed` alone ends the check.  An answer may be short or end anywhere where
-    the last assistant turn makes a call."""
-    last = F.try_element_at(F.filter(messages, lambda m: m["role"] == "assistant"), F.lit(-1))
-    acts = F.coalesce(F.size(last["tool_calls"]) > 0, F.lit(False))
-    texts = F.filter(reasons(messages, product, prefix), lambda r: (r != "over_length") & ~(acts & r.isin("thin_assistant_turn", "truncated")))
-    long = F.when(message_json_length(messages) > MAX_CHARS, F.array(F.lit("over_length"))).otherwise(F.array().cast("array<string>"))
-    return F.when(malformed(messages), F.array(F.lit("malformed"))).otherwise(F.concat(texts, transcript_reasons(messages, prefix), long))

@@ -31,15 +31,21 @@ def _term(field: Column, op: str, value) -> Column:
 
 
 def apply_domain(df: DataFrame, domain: list, relations: Relations | None = None) -> DataFrame:
-    """Rows that satisfy all [field, op, value] terms.  'fk.field' follows a relation; prefix
-    operators ('|', '&', '!') combine the terms after them."""
+    """Rows that satisfy all [field, op, value] terms.  'fk.field' follows a relation, and so does
+    each step of a longer path (relations by the whole path so far, else by the step's name); keys
+    of a relation are unique.  Prefix operators ('|', '&', '!') combine the terms after them."""
     relations = relations or {}
     base = df.columns
-    for path in {t[0] for t in domain if not isinstance(t, str) and "." in t[0]}:
-        at, fk = df, path.split(".")[0]
-        if f"__{fk}" not in "".join(df.columns):
-            other, key = relations[fk]
-            df = at.join(other.select(*[F.col(c).alias(f"__{fk}.{c}") for c in other.columns]), F.col(fk) == F.col(f"`__{fk}.{key}`"), "left")
+    followed: dict[str, DataFrame] = {}
+    for term in domain:
+        steps = [] if isinstance(term, str) else term[0].split(".")[:-1]
+        for depth in range(len(steps)):
+            at = ".".join(steps[: depth + 1])
+            if at not in followed:
+                other, key = relations[at] if at in relations else relations[steps[depth]]
+                own = F.col(f"`__{at}`") if depth else F.col(at)
+                followed[at] = other
+                df = df.join(other.select(*[F.col(c).alias(f"__{at}.{c}") for c in other.columns]), own == F.col(f"`__{at}.{key}`"), "left")
 
     def column(name: str) -> Column:
         return F.col(f"`__{name}`") if "." in name else F.col(name)
@@ -85,6 +91,6 @@ def drop_pinned(domain: list, group: str) -> list:
     return [t for t in domain if isinstance(t, str) or t[0] != group] or [["id", ">", 0]]
 
 
-def count_over(df: DataFrame) -> DataFrame:
-    """df with the total number of rows in each, by one aggregate."""
-    return df.crossJoin(F.broadcast(df.agg(F.count("*").alias("total"))))
+def first_of_total(df: DataFrame, order: list, limit: int) -> DataFrame:
+    """The first rows in the order, each with the number of all rows as `total`."""
+    return df.orderBy(*order).limit(limit).withColumn("total", df.select(F.count("*")).scalar())

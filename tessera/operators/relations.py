@@ -6,13 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Method names that are actions, operations by rank, names that open views.
-ACTION_PREFIXES = ("action_", "button_", "do_", "process_", "validate_", "confirm_", "cancel_", "approve_", "reject_")
+ACTION_PREFIXES = ("action_", "button_", "do_", "write_", "post_", "validate_", "confirm_", "cancel_", "reset_")
 CORE_VERBS = (
     "confirm", "validate", "approve", "post", "done", "cancel", "submit", "refuse", "reject", "start", "close", "pay", "send", "assign", "plan",
     "apply", "reset", "draft", "archive", "publish", "generate", "compute", "split", "merge", "duplicate", "replan", "unreserve", "scrap",
     "pass", "fail", "register", "reconcile", "invoice", "receive",
 )
-UI_ONLY = r"(?i)^action_(?:view|open|see|show|print|preview|redirect|goto|get|toggle)_|^action_(?:view|open)$|_wizard$|^action_.*dashboard|graph|kanban|_report$|^action_help"
+UI_ONLY = (
+    r"(?i)^action_(?:view|open|see|show|print|preview|redirect|goto|get|toggle)_|^action_(?:view|open)$|^action_l10n_|^button_l10n_|^action_.*_l10n_"
+    r"|_wizard$|^action_.*dashboard|graph|kanban|_report$|^action_help"
+)
+LOCALISATION = (
+    r"(?i)_(?:swiss|belgian|french|german|italian|spanish|dutch|indian|brazil|mexic|austral|kenya|malays|philipp|romania|turkish|vietnam|saudi|uae"
+    r"|peppol|nemhandel|fatturapa|facturae|cfdi|ubl|oioubl|edi|einvoice|gstin|gstr|ewaybill|sepa|sdd)\w*"
+)
 DESTRUCTIVE = ("cancel", "draft", "unreserve", "scrap", "refuse", "reject", "reset", "unlink", "delete", "reverse")
 # End of fixed values.
 
@@ -42,12 +49,13 @@ def is_destructive(name: Column, to_state: Column) -> Column:
 
 
 def method_score(name: Column) -> Column:
-    """Central operations first, long names and views last."""
+    """Central operations first, long names later, those of one country last."""
     words = F.split(F.regexp_replace(name, "^(?:action_|button_)", ""), "_")
     rank = F.lit(0)
     for i, verb in reversed(list(enumerate(CORE_VERBS))):
         rank = F.when(F.array_contains(words, verb), 100 - i).otherwise(rank)
-    return rank - 6 * F.greatest(F.size(words) - 2, F.lit(0)) + F.when(name.startswith("button_"), 10).otherwise(0)
+    local = F.when(name.rlike(LOCALISATION), 200).otherwise(0)
+    return rank - local - 6 * F.greatest(F.size(words) - 2, F.lit(0)) + F.when(name.startswith("button_"), 10).otherwise(0)
 
 
 def top_methods(methods: DataFrame, model: str, name: str, k: int = 10) -> DataFrame:
@@ -55,6 +63,50 @@ def top_methods(methods: DataFrame, model: str, name: str, k: int = 10) -> DataF
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy(model).orderBy(F.desc("score"), name))).where(F.col("rank") <= k)
 
 
+def verify_specs(specs: DataFrame, fields: DataFrame, methods: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(confirmed specifications, warnings) of a curated catalog against what a scan found.
+
+    specs: model, methods (array of struct with name), create_fields (map), search_fields (array),
+    state_field; fields: model_name, field_name; methods: model_name, method_name.  A model needs a
+    known field and a method that is known and public; its unknown methods, searched and created
+    fields and state field go, in that order of what is left.  warnings: (model, kind, names)."""
+    names = fields.groupBy(F.col("model_name").alias("model")).agg(F.collect_set("field_name").alias("_fields"))
+    public = methods.where(is_public(F.col("method_name"))).groupBy(F.col("model_name").alias("model")).agg(F.collect_set("method_name").alias("_methods"))
+    none = F.array().cast("array<string>")
+    full = specs.join(names, "model", "left").join(public, "model", "left").withColumns({"_fields": F.coalesce("_fields", none), "_methods": F.coalesce("_methods", none)})
+    known_method = lambda m: F.array_contains("_methods", m["name"])
+    known_field = lambda f: F.array_contains("_fields", f)
+    full = full.withColumns(
+        {
+            "_kept": F.filter("methods", known_method),
+            "_lost": F.array_sort(F.transform(F.filter("methods", lambda m: ~known_method(m)), lambda m: m["name"])),
+            "_search": F.filter("search_fields", known_field),
+            "_unsearched": F.filter("search_fields", lambda f: ~known_field(f)),
+            "_uncreated": F.filter(F.map_keys("create_fields"), lambda f: ~known_field(f)),
+        }
+    )
+    present, alive = F.size("_fields") > 0, F.size("_kept") > 0
+    good = full.where(present & alive).withColumns(
+        {
+            "methods": F.col("_kept"),
+            "search_fields": F.when(F.size("_search") > 0, F.col("_search")).otherwise(F.array(F.lit("id"), F.lit("display_name"))),
+            "create_fields": F.map_filter("create_fields", lambda k, _: known_field(k)),
+            "state_field": F.when(known_field(F.col("state_field")), F.col("state_field")),
+        }
+    )
+    note = lambda when, kind, of: F.when(when, F.struct(F.lit(kind).alias("kind"), of.alias("names")))
+    notes = F.array_compact(
+        F.array(
+            note(~present, "model not present", none),
+            note(present & (F.size("_lost") > 0), "methods", F.col("_lost")),
+            note(present & ~alive, "no method left", none),
+            note(present & alive & (F.size("_unsearched") > 0), "search fields", F.col("_unsearched")),
+            note(present & alive & (F.size("_uncreated") > 0), "create fields", F.col("_uncreated")),
+        )
+    )
+    return good.select(*specs.columns), full.select("model", F.inline(notes))
+
+
 def verify(catalog: DataFrame, known: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(confirmed entries, warnings): semi and anti join of the catalog with what a scan found."""
     seen = known.select(*keys).distinct()
@@ -87,19 +139,22 @@ def ranked_relations(edges: DataFrame, surface: DataFrame, preferred: list[str],
 
 
 def fallback_join(rows: DataFrame, exact: DataFrame, by: str, general: DataFrame, wider: str, value: str) -> DataFrame:
-    """rows with `value` from the exact match, else from the wider one, else null."""
-    a = exact.select(by, F.col(value).alias("_exact"))
-    b = general.select(wider, F.col(value).alias("_wide"))
+    """rows with `value` from the exact match, else from the wider one, else null; of several values
+    of a key the least counts, so that rows stay as many as they are."""
+    one = lambda rows, key: rows.groupBy(key).agg(F.min(value).alias(f"_{key}_value"))
+    a = one(exact, by).withColumnRenamed(f"_{by}_value", "_exact")
+    b = one(general, wider).withColumnRenamed(f"_{wider}_value", "_wide")
     return rows.join(a, by, "left").join(b, wider, "left").withColumn(value, F.coalesce("_exact", "_wide")).drop("_exact", "_wide")
 
 
-# Verbs with phrases of their own; columns that a search prefers; kinds of values by column.
+# Verbs with phrases of their own, and the phrase of other names.
 PHRASES = {
     "confirm": "confirm the {}", "cancel": "cancel the {}", "validate": "validate the {}", "approve": "approve the {}", "refuse": "refuse the {}",
     "done": "complete the {}", "post": "post the {}", "draft": "put the {} back to draft", "start": "start the {}", "assign": "assign the {}",
     "archive": "archive the {}", "submit": "submit the {}", "pay": "pay the {}", "send": "send the {}", "reset": "reset the {}", "apply": "apply the {}",
     "plan": "schedule the {}", "close": "close the {}",
 }
+OTHER_PHRASE = "deal with the {} — specifically, "
 # End of fixed values.
 
 
@@ -114,7 +169,7 @@ def intent_of(method: Column, label: Column) -> Column:
         longer = F.concat(phrase(p), F.lit(" ("), words, F.lit(")"))
         exact = (F.when if exact is None else exact.when)(words == verb, phrase(p))
         edge = (F.when if edge is None else edge.when)(at_edge, longer)
-    return F.coalesce(exact, edge, F.concat(F.lit("deal with the "), label, F.lit(" — specifically, "), words))
+    return F.coalesce(exact, edge, F.concat(phrase(OTHER_PHRASE), words))
 
 
 def discover(candidates: DataFrame, fields: DataFrame, methods: DataFrame, curated: DataFrame, preferred: list[str], min_methods: int = 1, k: int = 10) -> tuple[DataFrame, DataFrame]:

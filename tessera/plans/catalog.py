@@ -2,37 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import call_checks, facts, gate, generation, query_api, relations, sampling, scoring, summaries
+from ..operators import call_checks, facts, gate, generation, preparation, query_api, relations, sampling, scoring, summaries, verdicts
 from ..sources import catalogs
 from ..sources.jsonl import MESSAGE
+from .registry import ORACLE, QUERIES, call as _call, conversations, message, query, quoted, table  # noqa: F401
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
 FLAGSHIP = "agg01_read_group"
 
 
-def query(name: str, sql: str | None = None):
-    def keep(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLE[name] = sql
-        return f
-
-    return keep
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def money(c: str):
-    return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
-
-
 # -- reads --------------------------------------------------------------------------------------
 
 
@@ -50,7 +31,9 @@ def count_only(spark, d):
 
 @query("agg01_multi", "select l_returnflag, l_linestatus, count(*) as __count, sum(cast(l_quantity as decimal(18,2)))::double as qty, sum(cast(l_extendedprice as decimal(18,2)))::double as price from lineitem group by 1, 2")
 def read_group_multi(spark, d):
-    return table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("__count"), money("l_quantity").alias("qty"), money("l_extendedprice").alias("price"))
+    lines = table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", *[F.col(c).cast("decimal(18,2)").alias(n) for c, n in (("l_quantity", "qty"), ("l_extendedprice", "price"))])
+    out = query_api.read_group(lines, [], ["l_returnflag", "l_linestatus"], ["qty:sum", "price:sum"])
+    return out.select("l_returnflag", "l_linestatus", "__count", *[F.col(f"{n}_sum").cast("double").alias(n) for n in ("qty", "price")])
 
 
 @query("flt01_search_read", "select o_orderkey, o_custkey, o_totalprice from orders where o_orderdate >= timestamp '1995-01-01' and o_totalprice > 1000 order by o_orderkey limit 50")
@@ -78,6 +61,13 @@ def dotted(spark, d):
     return query_api.search_read(table(spark, d, "orders"), [["o_custkey.c_mktsegment", "=", "BUILDING"]], ["o_orderkey"], relations={"o_custkey": (table(spark, d, "customer"), "c_custkey")})
 
 
+@query("join18_two_levels", "select o_orderkey from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey where n_name <> 'FRANCE' and n_regionkey = 2 and c_acctbal > 100")
+def dotted_deep(spark, d):
+    related = {"o_custkey": (table(spark, d, "customer"), "c_custkey"), "c_nationkey": (table(spark, d, "nation"), "n_nationkey")}
+    domain = [["o_custkey.c_nationkey.n_name", "!=", "FRANCE"], ["o_custkey.c_nationkey.n_regionkey", "=", 2], ["o_custkey.c_acctbal", ">", 100]]
+    return query_api.search_read(table(spark, d, "orders"), domain, ["o_orderkey"], relations=related)
+
+
 @query("flt02_pinpoint", "select p_partkey, p_name, p_brand from part where p_partkey = 7 limit 1")
 def pinpoint(spark, d):
     return query_api.search_read(table(spark, d, "part"), [["p_partkey", "=", 7]], ["p_name", "p_brand"], id_field="p_partkey", limit=1)
@@ -91,23 +81,16 @@ def drop_pinned(spark, d):
 
 @query("srt06_limit_with_total", "select o_orderkey, (select count(*) from orders) as total from orders order by o_totalprice desc, o_orderkey limit 20")
 def limit_total(spark, d):
-    top = query_api.count_over(table(spark, d, "orders")).orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
-    return top.select("o_orderkey", "total")
+    return query_api.first_of_total(table(spark, d, "orders"), [F.desc("o_totalprice"), "o_orderkey"], 20).select("o_orderkey", "total")
 
 
 # -- transcripts --------------------------------------------------------------------------------
 
 
-def conversations(spark, d) -> DataFrame:
-    """(conv_id, messages), turns in order."""
-    rows = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("m"))
-    return rows.select("conv_id", F.transform("m", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("messages"))
-
-
 @query("prj07_first_exchange", "with f as (select conv_id, min(turn) filter (role = 'assistant') as t from conversations group by 1) select c.conv_id, count(*) filter (t is null or turn < t) as prompt_turns, max(text) filter (turn = t) as gold from conversations c join f using (conv_id) group by 1")
 def first_exchange(spark, d):
-    c = conversations(spark, d).withColumn("i", F.array_position(F.transform("messages", lambda m: m["role"]), "assistant"))
-    return c.select("conv_id", F.when(F.col("i") > 0, F.col("i") - 1).otherwise(F.size("messages")).cast("bigint").alias("prompt_turns"), F.get("messages", F.when(F.col("i") > 0, F.col("i") - 1).cast("int"))["content"].alias("gold"))
+    c = conversations(spark, d).select("conv_id", preparation.first_exchange(F.col("messages")).alias("x"))
+    return c.select("conv_id", F.size("x.prompt").cast("bigint").alias("prompt_turns"), F.col("x.gold.content").alias("gold"))
 
 
 @query("win10_final_answer", "select conv_id, coalesce(arg_max(text, turn) filter (role = 'assistant' and text <> ''), '') as answer from conversations group by 1")
@@ -115,16 +98,9 @@ def final_answer(spark, d):
     return conversations(spark, d).select("conv_id", gate.final_answer(F.col("messages")).alias("answer"))
 
 
-@query("prj16_chatml", "select conv_id, sha256(string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' order by turn)) as rendered from conversations group by 1")
+@query("prj16_chatml", "select conv_id, sha256(string_agg('<|im_start|>' || role || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' order by turn)) as rendered from conversations group by 1")
 def chatml(spark, d):
-    line = F.transform("messages", lambda m: F.concat(F.lit("<|im_start|>"), m["role"], F.lit("\n"), m["content"], F.lit("<|im_end|>\n")))
-    return conversations(spark, d).select("conv_id", F.sha2(F.array_join(line, ""), 256).alias("rendered"))
-
-
-@query("prj11_transcript", "select conv_id, sha256(string_agg(upper(role) || ': ' || case when length(text) > 1400 then substr(text, 1, 1400) || ' …' else text end, chr(10) order by turn)) as transcript from conversations group by 1")
-def transcript(spark, d):
-    cut = lambda c: F.when(F.length(c) > 1400, F.concat(F.substring(c, 1, 1400), F.lit(" …"))).otherwise(c)
-    return conversations(spark, d).select("conv_id", F.sha2(F.array_join(F.transform("messages", lambda m: F.concat(F.upper(m["role"]), F.lit(": "), cut(m["content"]))), "\n"), 256).alias("transcript"))
+    return conversations(spark, d).select("conv_id", F.sha2(preparation.chatml(F.col("messages")), 256).alias("rendered"))
 
 
 @query("prj18_sample_key", "select doc_id, substr(sha256('2.0|' || source || '|' || doc_id || '|' || lang), 1, 24) as key from documents")
@@ -137,11 +113,6 @@ def group_keys(spark, d):
     return table(spark, d, "documents").groupBy(tx.group_key(F.col("lang"), F.col("source")).alias("gkey")).agg(F.count("*").alias("n"))
 
 
-@query("prj02_sidecar", "select doc_id, lang, source, quality, case when doc_id % 10 = 0 then 'eval' else 'train' end as split from documents join labels using (doc_id)")
-def sidecar(spark, d):
-    return table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").select("doc_id", "lang", "source", "quality", F.when(F.col("doc_id") % 10 == 0, "eval").otherwise("train").alias("split"))
-
-
 @query("txt02_normalise", "select doc_id, sha256(trim(regexp_replace(regexp_replace(lower(text), '[0-9]+', '#', 'g'), '[ \\t\\n\\r\\f]+', ' ', 'g'))) as h from documents")
 def normalise(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2(tx.normalise(F.col("text")), 256).alias("h"))
@@ -155,97 +126,81 @@ def strip_think(spark, d):
 
 # -- the gate -----------------------------------------------------------------------------------
 
-#: rule -> (phrase put into every seventh conversation, SQL test of the joined assistant text)
-_ASSISTANT_RULES = {
-    "qg09_version_drift": ("version_drift", "On Acme 14.0 this differs.", gate.version_drift("Acme")),
-    "qg10_prompt_artifact": ("prompt_artifact", "As an AI I cannot.", gate.PROMPT_ARTIFACT),
-    "qg11_instruction_echo": ("instruction_echo", "Keep no emojis here.", gate.INSTRUCTION_ECHO),
-    "qg12_prompt_leak": ("prompt_leak", "Relational Edges: none.", gate.PROMPT_LEAK),
-    "qg14_tool_call_as_text": ("tool_call_as_text", "\nacme_create('x')", gate.call_as_text("acme_")),
-    "qg17_teacher_voice": ("teacher_voice", "Since the user asked, done.", gate.TEACHER_VOICE),
-}
-
-
-def injected(spark, d, phrase: str, role: str = "assistant") -> DataFrame:
-    rows = table(spark, d, "conversations").where("text is not null")
-    own = F.when((F.col("conv_id") % 7 == 3) & (F.col("role") == role), F.concat("text", F.lit(" " + phrase))).otherwise(F.col("text"))
-    rows = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", own.alias("content")))).alias("m"))
-    return rows.select("conv_id", F.transform("m", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("messages"))
-
-
-def _quoted(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
 def _gate_query(name: str, rule: str, phrase: str, pattern: str, role: str, each: str) -> None:
+    """A predicate over all conversations, of which every seventh has a turn with the phrase."""
     malformed = "count(*) < 2 or count(*) filter (role not in ('system','user','assistant','tool')) > 0 or count(*) filter (role = 'user') = 0 or count(*) filter (role = 'assistant') = 0"
-    own = f"case when conv_id % 7 = 3 and role = {_quoted(role)} then text || {_quoted(' ' + phrase)} else text end"
+    own = f"case when conv_id % 7 = 3 and role = {quoted(role)} then {quoted(phrase)} || coalesce(text, '') else coalesce(text, '') end"
+    if each == "final":
+        own = f"case when conv_id % 7 = 3 and role = {quoted(role)} then coalesce(text, '') || {quoted(phrase)} else coalesce(text, '') end"
+    joined = "coalesce(string_agg(x, chr(10) order by turn) filter (role = 'assistant'), '')"
     tests = {
-        "joined": f"regexp_matches(coalesce(string_agg(x, chr(10) order by turn) filter (role = 'assistant'), ''), {_quoted(pattern)})",
-        "final": f"regexp_matches(coalesce(arg_max(x, turn) filter (role = 'assistant' and x <> ''), ''), {_quoted(pattern)})",
-        "user": f"bool_or(role = 'user' and regexp_matches(trim(x, E' \\t\\n\\r'), {_quoted(pattern)}))",
+        "joined": f"regexp_matches({joined}, {quoted(pattern)})",
+        "final": f"regexp_matches(coalesce(arg_max(x, turn) filter (role = 'assistant' and x <> ''), ''), {quoted(pattern)})",
+        "user": f"bool_or(role = 'user' and regexp_matches(trim(x, E' \\t\\n\\r'), {quoted(pattern)}))",
+        "think": f"len(string_split({joined}, '<think>')) <> len(string_split({joined}, '</think>'))",
     }
-    sql = f"select conv_id, not ({malformed}) and {tests[each]} as rejected from (select *, {own} as x from conversations where text is not null) group by 1"
+    sql = f"select conv_id, not ({malformed}) and {tests[each]} as rejected from (select *, {own} as x from conversations) group by 1"
 
     @query(name, sql)
     def run(spark, d):
-        c = injected(spark, d, phrase, role)
-        return c.select("conv_id", F.array_contains(gate.reasons(F.col("messages"), "Acme", "acme_"), rule).alias("rejected"))
-
+        here = (F.col("conv_id") % 7 == 3) & (F.col("role") == role)
+        parts = ("text", F.lit(phrase)) if each == "final" else (F.lit(phrase), "text")
+        said = F.when(here, F.concat(*[F.coalesce(p, F.lit("")) for p in parts])).otherwise(F.col("text"))
+        c = conversations(spark, d, said)
+        return c.select("conv_id", F.array_contains(verdicts.reasons(F.col("messages"), "Acme", "acme_", wanted=(rule,)), rule).alias("rejected"))
 
-for _name, (_rule, _phrase, _pattern) in _ASSISTANT_RULES.items():
-    _gate_query(_name, _rule, _phrase, _pattern, "assistant", "joined")
-_gate_query("qg13_chatty", "chatty", "I hope this helps", gate.CHATTY, "assistant", "final")
-_gate_query("qg05_user_turn_meta", "user_turn_meta", "per the instruction", gate.USER_META, "user", "user")
-_gate_query("qg04_robotic_prompt", "robotic_prompt", "x", gate.ROBOTIC, "user", "user")
 
+_gate_query("qg04_robotic_prompt", "robotic_prompt", "Perform full end-to-end management of Acme model sale. ", gate.robotic("Acme"), "user", "user")
+_gate_query("qg05_user_turn_meta", "user_turn_meta", "per the instruction ", gate.user_meta("Acme"), "user", "user")
+_gate_query("qg06_broken_think", "broken_think", "<think>open ", "", "assistant", "think")
+_gate_query("qg09_version_drift", "version_drift", "On Acme 14.0 this differs. ", gate.version_drift("Acme"), "assistant", "joined")
+_gate_query("qg10_prompt_artifact", "prompt_artifact", "As an AI I cannot. ", gate.PROMPT_ARTIFACT, "assistant", "joined")
+_gate_query("qg11_instruction_echo", "instruction_echo", "Never mention Acme here. ", gate.instruction_echo("Acme"), "assistant", "joined")
+_gate_query("qg12_prompt_leak", "prompt_leak", "=== Acme 19 model technical definition === ", gate.prompt_leak("Acme"), "assistant", "joined")
+_gate_query("qg13_chatty", "chatty", " Happy configuring", gate.chatty("Acme"), "assistant", "final")
+_gate_query("qg16_fabricated_reference", "fabricated_reference", "See INV/2024/0012. ", "(?i)\\b(?:INV|BILL|RINV|RBILL|SO|PO|POS|BNK[0-9]?|MO|RO)[-/]20(?:[01][0-9]|2[0-57-9])[-/][0-9]|\\b(?:INV|BILL|SO|PO)[-/]?20(?:[01][0-9]|2[0-57-9])\\b", "assistant", "joined")
+_gate_query("qg17_teacher_voice", "teacher_voice", "Since the user asked, done. ", gate.TEACHER_VOICE, "assistant", "joined")
 
-@query("qg01_malformed", "select conv_id, count(*) < 2 or count(*) filter (role not in ('system','user','assistant','tool')) > 0 or count(*) filter (role = 'user') = 0 or count(*) filter (role = 'assistant') = 0 as rejected from conversations group by 1")
-def malformed(spark, d):
-    return conversations(spark, d).select("conv_id", gate.malformed(F.col("messages")).alias("rejected"))
 
+@query("qg03_thin_user_turn", "select conv_id, length(trim(case when conv_id % 7 = 3 then ' go ' else coalesce(arg_min(coalesce(text, ''), turn) filter (role = 'user'), '') end, E' \\t\\n\\r')) < 12 and not (count(*) < 2 or count(*) filter (role not in ('system','user','assistant','tool')) > 0 or count(*) filter (role = 'user') = 0 or count(*) filter (role = 'assistant') = 0) as thin from conversations group by 1")
+def thin_user(spark, d):
+    said = F.when((F.col("conv_id") % 7 == 3) & (F.col("role") == "user"), F.lit(" go ")).otherwise(F.col("text"))
+    return conversations(spark, d, said).select("conv_id", F.array_contains(verdicts.reasons(F.col("messages"), wanted=("thin_user_turn",)), "thin_user_turn").alias("thin"))
 
-@query("qg07_thin_answer", "select conv_id, length(trim(coalesce(arg_max(text, turn) filter (role = 'assistant' and text <> ''), ''), E' \\t\\n\\r')) < 120 as thin from conversations group by 1")
-def thin_answer(spark, d):
-    return conversations(spark, d).select("conv_id", (F.length(tx.strip(gate.final_answer(F.col("messages")))) < gate.MIN_ANSWER).alias("thin"))
 
+_MALFORMED = "(count(*) < 2 or count(*) filter (role not in ('system','user','assistant','tool')) > 0 or count(*) filter (role = 'user') = 0 or count(*) filter (role = 'assistant') = 0)"
 
-@query(
-    "qg08_truncated",
-    """with t as (select doc_id, rtrim(case when doc_id % 4 = 1 then text || ' and then' else text end, E' \\t\\n\\r') as t from documents),
-l as (select doc_id, t, right(t, 1) as last, trim(list_extract(string_split(t, chr(10)), -1), E' \\t\\n\\r') as tail from t)
-select doc_id, t = '' or not (contains('.!?)]`:"''*…—✓✅', last) or regexp_matches(last, '[\\p{So}\\p{Sk}]') or (regexp_matches(tail, '^[|*#-]') and length(tail) > 3)) as cut from l""",
-)
-def truncated(spark, d):
-    own = F.when(F.col("doc_id") % 4 == 1, F.concat("text", F.lit(" and then"))).otherwise(F.col("text"))
-    return table(spark, d, "documents").select("doc_id", gate.truncated(own).alias("cut"))
 
+@query("qg14_tool_call_as_text", f"select conv_id, not {_MALFORMED} and conv_id % 7 = 3 and conv_id % 2 = 1 as rejected from conversations group by 1")
+def call_as_text(spark, d):
+    """Every seventh conversation shows a call; only the odd ones also make one."""
+    said = F.when((F.col("conv_id") % 7 == 3) & (F.col("role") == "assistant"), F.concat(F.lit("acme_create('x')\n"), F.coalesce("text", F.lit("")))).otherwise(F.col("text"))
+    acts = F.array(_call("acme_create", F.lit("{}")))
+    c = conversations(spark, d, said)
+    called = F.transform("messages", lambda m: F.when((m["role"] == "assistant") & (F.col("conv_id") % 2 == 1), message("assistant", m["content"], acts)).otherwise(m))
+    found = verdicts.reasons(called, "Acme", "acme_", wanted=("tool_call_as_text",))
+    return c.select("conv_id", F.array_contains(found, "tool_call_as_text").alias("rejected"))
 
-@query("qg06_broken_think", "select conv_id, conv_id % 3 = 1 as broken from (select distinct conv_id from conversations)")
-def broken_think(spark, d):
-    own = F.when(F.col("conv_id") % 3 == 1, "<think>open").otherwise("<think>shut</think>")
-    return table(spark, d, "conversations").select("conv_id").distinct().select("conv_id", (tx.think_balance(own) != 0).alias("broken"))
 
+def _acted(tool: str, result, answer) -> F:
+    """A transcript (request, one call, its result, answer) of an order."""
+    made = F.array(_call(tool, F.to_json(F.struct("o_orderkey"))))
+    return F.array(message("user", "What about this order, please?"), message("assistant", "", made), message("tool", result, None, "c"), message("assistant", answer))
 
-@query("qg16_fabricated_reference", "select o_orderkey, year(o_orderdate) between 2000 and 2029 and year(o_orderdate) <> 2026 as fabricated from orders")
-def fabricated(spark, d):
-    text = F.concat(F.lit("Posted INV/"), F.year("o_orderdate"), F.lit("/00"), F.col("o_orderkey"))
-    found = F.regexp_extract_all(text, F.lit(gate.FABRICATED_REFERENCE), F.lit(0))
-    return table(spark, d, "orders").select("o_orderkey", F.exists(found, lambda r: ~r.contains(gate.REFERENCE_YEAR)).alias("fabricated"))
 
-
-@query("qg15_state_claim", "select o_orderkey, o_orderkey % 5 = 0 and o_orderstatus <> 'O' as unsupported from orders")
+@query("qg15_state_claim", "select o_orderkey, o_orderkey % 5 = 0 and o_orderstatus <> 'O' or o_orderkey % 5 = 1 as unsupported from orders")
 def state_claim(spark, d):
-    said = F.when(F.col("o_orderkey") % 5 == 0, "The status is now 'open_o'.").otherwise("Nothing to report.")
-    claims = F.transform(F.regexp_extract_all(said, F.lit(gate.STATE_CLAIM), F.lit(1)), F.lower)
-    reported = F.array(F.concat(F.lit("open_"), F.lower("o_orderstatus")))
-    return table(spark, d, "orders").select("o_orderkey", (F.size(F.array_except(claims, reported)) > 0).alias("unsupported"))
+    said = F.when(F.col("o_orderkey") % 5 == 0, "The status is now 'open_o'.").when(F.col("o_orderkey") % 5 == 1, "It is now in state `gone`.").otherwise("Nothing to report.")
+    result = F.when(F.col("o_orderkey") % 2 == 0, F.to_json(F.struct(F.concat(F.lit("Open_"), "o_orderstatus").alias("state")))).otherwise(F.to_json(F.array(F.struct(F.concat(F.lit("OPEN_"), "o_orderstatus").alias("payment_state")))))
+    return table(spark, d, "orders").select("o_orderkey", call_checks.unsupported_state(_acted("tool_search_read", result, said)).alias("unsupported"))
 
 
-@query("qg25_unmade_write", "select o_orderkey, o_orderkey % 3 = 0 as claimed from orders")
+@query("qg25_unmade_write", "select o_orderkey, o_orderkey % 3 = 0 and o_orderkey % 2 = 0 as claimed from orders")
 def unmade_write(spark, d):
     said = F.when(F.col("o_orderkey") % 3 == 0, "I confirmed the order.").when(F.col("o_orderkey") % 3 == 1, "No entry has been posted yet.").otherwise("I will confirm it.")
-    return table(spark, d, "orders").select("o_orderkey", gate.unnegated_write(said).alias("claimed"))
+    read, wrote = (_acted(t, F.lit("{}"), said) for t in ("tool_search_read", "tool_write"))
+    checked = call_checks.unmade_write(F.when(F.col("o_orderkey") % 2 == 0, read).otherwise(wrote))
+    return table(spark, d, "orders").select("o_orderkey", checked.alias("claimed"))
 
 
 @query("qg18_bad_arguments", "select event_id, not (event_id % 11 <> 0 and json_valid(props)) as bad from events")
@@ -255,29 +210,45 @@ def bad_arguments(spark, d):
     return table(spark, d, "events").select("event_id", F.coalesce(~F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(True)).alias("bad"))
 
 
-@query("qg19_unknown_model", "select event_id, event_type from events where event_type not in ('click', 'view')")
+def _execute_events(spark, d) -> DataFrame:
+    """Each event as a transcript with one call of its type on its user's group."""
+    model = F.concat(F.lit("u"), (F.col("user_id") % 7).cast("string"))
+    args = F.to_json(F.struct(model.alias("model"), F.col("event_type").alias("method")))
+    return table(spark, d, "events").select("event_id", F.array(message("assistant", "", F.array(_call("tool_execute_method", args)))).alias("messages"))
+
+
+@query("qg19_unknown_model", "select event_id from events where user_id % 7 in (5, 6)")
 def unknown_model(spark, d):
-    known = spark.sql("select * from values ('click'), ('view') as t(event_type)")
-    return table(spark, d, "events").join(F.broadcast(known), "event_type", "left_anti").select("event_id", "event_type")
+    known = spark.sql("select concat('u', id) as model, explode(array('click', 'view', 'purchase', 'error', 'login', 'logout', 'signup', 'refund', 'scroll', 'search')) as method from range(5)")
+    found = call_checks.call_reasons(_execute_events(spark, d), "event_id", known)
+    return found.where(F.array_contains("reasons", "unknown_model")).select("event_id")
 
 
-@query("qg20_hallucinated_method", "with seen as (select distinct user_id, event_type from events where event_id % 2 = 0) select event_id from events e where not exists (select 1 from seen s where s.user_id = e.user_id and s.event_type = e.event_type)")
+@query("qg20_hallucinated_method", "select event_id from events where event_type not in ('click', 'write') and event_id % 5 <> 0")
 def hallucinated(spark, d):
-    events = table(spark, d, "events")
-    return events.join(events.where("event_id % 2 = 0").select("user_id", "event_type").distinct(), ["user_id", "event_type"], "left_anti").select("event_id")
+    """Every fifth call is of a method that all models have."""
+    args = F.to_json(F.struct(F.lit("m").alias("model"), F.when(F.col("event_id") % 5 == 0, "message_post").otherwise(F.col("event_type")).alias("method")))
+    calls = table(spark, d, "events").select("event_id", F.array(message("assistant", "", F.array(_call("tool_execute_method", args)))).alias("messages"))
+    found = call_checks.call_reasons(calls, "event_id", spark.sql("select 'm' as model, 'click' as method"))
+    return found.where(F.array_contains("reasons", "hallucinated_method")).select("event_id")
 
 
-@query("qg02_orphan_result", "select user_id, count(*) as orphans from events e where event_id % 3 = 0 and not exists (select 1 from events c where c.user_id = e.user_id and c.event_type = e.event_type and c.event_id % 3 = 1) group by 1")
+@query("qg02_orphan_result", "select user_id, count(*) filter (event_id % 3 <> 1) as results, bool_or(event_id % 3 = 0 and event_type not in (select distinct c.event_type from events c where c.user_id = e.user_id and c.event_id % 3 = 1) or event_id % 3 = 2) as orphan from events e group by 1")
 def orphans(spark, d):
-    events = table(spark, d, "events")
-    calls = events.where("event_id % 3 = 1").select("user_id", "event_type").distinct()
-    return events.where("event_id % 3 = 0").join(calls, ["user_id", "event_type"], "left_anti").groupBy("user_id").agg(F.count("*").alias("orphans"))
+    """A user's events as one transcript: calls (event_id % 3 = 1) and results of the call named by
+    the type, or of none."""
+    third = F.col("event_id") % 3
+    turn = F.when(third == 1, message("assistant", "", F.array(_call("tool_read", F.lit("{}"), F.col("event_type"))))).otherwise(message("tool", "{}", None, F.when(third == 0, F.col("event_type"))))
+    own = table(spark, d, "events").groupBy("user_id").agg(F.count_if(third != 1).alias("results"), F.collect_list(turn).alias("messages"))
+    return own.select("user_id", "results", call_checks.orphan_results(F.col("messages")).alias("orphan"))
 
 
-@query("qg21_placeholder", "select p_partkey, regexp_matches(case when p_partkey % 9 = 0 then 'Sample Name #' || p_partkey else p_name end, '^Sample .*#[0-9]+$|^Sample Value$|^option1$|^Updated #[0-9]+$') as placeholder from part")
+@query("qg21_placeholder", "select p_partkey from part where p_partkey % 9 = 0")
 def placeholder(spark, d):
     own = F.when(F.col("p_partkey") % 9 == 0, F.concat(F.lit("Sample Name #"), F.col("p_partkey"))).otherwise(F.col("p_name"))
-    return table(spark, d, "part").select("p_partkey", own.rlike(gate.PLACEHOLDER).alias("placeholder"))
+    args = F.to_json(F.struct(F.lit("m").alias("model"), F.struct(own.alias("name"), F.col("p_size").alias("size")).alias("values")))
+    calls = table(spark, d, "part").select("p_partkey", F.array(message("assistant", "", F.array(_call("tool_create", args)))).alias("messages"))
+    return call_checks.call_reasons(calls, "p_partkey").where(F.array_contains("reasons", "placeholder_values")).select("p_partkey")
 
 
 @query("qg22_over_length", "select doc_id, length(text) > 32768 as over_length from documents")
@@ -304,7 +275,7 @@ def rejection_tally(spark, d):
 
 _EDGES = "('orders','customer','Many2one','o_custkey'),('customer','nation','Many2one','c_nationkey'),('supplier','nation','Many2one','s_nationkey'),('nation','region','Many2one','n_regionkey'),('lineitem','orders','Many2one','l_orderkey'),('lineitem','part','Many2one','l_partkey'),('lineitem','supplier','Many2one','l_suppkey'),('orders','lineitem','One2many','lines'),('part','part','Many2one','parent')"
 _EDGE_SQL = f"(values {_EDGES}) as e(source_model, target_model, rel_type, field_name)"
-_METHODS = "('order','action_confirm'),('order','button_cancel'),('order','action_view_lines'),('order','action_done'),('order','compute_total_amount_again'),('part','button_validate'),('part','action_archive'),('part','print_label')"
+_METHODS = "('order','action_confirm'),('order','button_cancel'),('order','action_view_lines'),('order','action_done'),('order','compute_total_amount_again'),('order','action_send_swiss_report_x'),('order','action_l10n_x'),('order','pay_sepa_batch'),('part','button_validate'),('part','action_archive'),('part','print_label')"
 
 
 def edges(spark) -> DataFrame:
@@ -477,12 +448,9 @@ def draws(spark, d):
 # -- calls, scores, generated samples -----------------------------------------------------------
 
 
-@query("qg22_messages_json", "select conv_id, (length(to_json(list({'role': role, 'content': text} order by turn))::varchar) + 4 * count(*) - 1)::bigint as json_chars from conversations where text is not null group by 1")
+@query("qg22_messages_json", "select conv_id, (length(to_json(list({'role': role, 'content': coalesce(text, '')} order by turn))::varchar) + 4 * count(*) - 1)::bigint as json_chars from conversations group by 1")
 def messages_json(spark, d):
-    turns = table(spark, d, "conversations").where("text is not null")
-    turn = F.struct(F.col("role").alias("role"), F.col("text").alias("content"), F.lit(None).alias("tool_calls"), F.lit(None).alias("tool_call_id"))
-    ordered = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", turn.cast(MESSAGE).alias("m")))).alias("t"))
-    return ordered.select("conv_id", call_checks.message_json_length(F.transform("t", lambda t: t["m"])).cast("bigint").alias("json_chars"))
+    return conversations(spark, d).select("conv_id", call_checks.message_json_length(F.col("messages")).cast("bigint").alias("json_chars"))
 
 
 def _call_row(name: str, args, text=None):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,13 +30,14 @@ def valid_cache(rows: DataFrame, version: str = "2.0") -> DataFrame:
     return rows.where(F.col("_meta.key").isNotNull() & F.col("_meta.family").isNotNull() & (F.col("_meta.generator_version") == version))
 
 
-def write_jsonl(rows: DataFrame, path: str) -> None:
-    """One JSON object a line, UTF-8 as it is."""
-    rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.mode("overwrite").text(path)
+def write_jsonl(rows: DataFrame, path: str) -> int:
+    """One JSON object a line, UTF-8 as it is; returns the number of rows, counted while writing."""
+    seen = Observation()
+    counted = rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).observe(seen, F.count("*").alias("n"))
+    counted.write.mode("overwrite").text(path)
+    return seen.get["n"]
 
 
-def export_views(rows: DataFrame, path: str, family: str, views: dict[str, list[str]], split: str = "split") -> None:
-    """train and eval by split, and a folder for each view's families."""
-    rows.write.mode("overwrite").partitionBy(split).parquet(f"{path}/samples")
-    for name, families in views.items():
-        write_jsonl(rows.where(F.col(family).isin(families)), f"{path}/{name}")
+def write_splits(rows: DataFrame, path: str, split: str = "split") -> None:
+    """All rows as Parquet, a folder for each split."""
+    rows.write.mode("overwrite").partitionBy(split).parquet(path)

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import call_checks, scoring
+from tessera.operators import call_checks, scoring, verdicts
 from tessera.sources.jsonl import MESSAGE
 
 
@@ -54,6 +54,7 @@ def test_call_reasons(spark):
         [turn("assistant", "", [call("1", "tool_create", {"model": "zz", "values": {"name": "Sample Name #1"}})])],
         [turn("user", "none")],
         [turn("assistant", "", [call("1", run, "[1]"), call("2", run, "null")])],
+        [turn("assistant", "", [call("1", run, {"model": "a", "method": "write"})])],
     ]
     methods = spark.createDataFrame([("a", "go"), ("a", "go"), ("b", "fly")], "model string, method string")
     got = {r["id"]: r["reasons"] for r in call_checks.call_reasons(frame(spark, *samples), "id", methods).collect()}
@@ -102,5 +103,12 @@ def test_all_reasons(spark):
         [turn("user", "please show the transfer"), turn("assistant", "Looking", [call("c1", "tool_search_read", {"model": "a"})])],
         [turn("user", "please show the transfer"), turn("assistant", "Looking")],
     ]
-    rows = frame(spark, *samples).select("id", call_checks.all_reasons(F.col("messages")).alias("r")).orderBy("id").collect()
+    rows = frame(spark, *samples).select("id", verdicts.reasons(F.col("messages")).alias("r")).orderBy("id").collect()
     assert [r["r"] for r in rows] == [["orphan_tool_result", "unsupported_state_claim"], ["over_length"], ["malformed"], [], ["thin_assistant_turn", "truncated"]]
+
+
+def test_calls_as_text_need_calls(spark):
+    said = "Use it like this:\ntool_create('x')\n" + "which makes the record and returns its number for later use, so that nothing else has to be done by hand afterwards."
+    samples = [[turn("user", "how do I create one"), turn("assistant", said)], [turn("user", "how do I create one"), turn("assistant", "", [call("c", "tool_create", {})]), turn("assistant", said)]]
+    rows = frame(spark, *samples).select("id", verdicts.reasons(F.col("messages")).alias("r")).orderBy("id").collect()
+    assert [r["r"] for r in rows] == [[], ["tool_call_as_text"]]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import text as tx
-from tessera.operators import gate, relations, sampling
+from tessera.operators import gate, relations, sampling, verdicts
 from tessera.sources import jsonl, source_tree
 from tessera.streaming import ingest
 
@@ -14,9 +14,8 @@ LONG = "The order was checked against stock and every line is available for deli
 
 
 def failed(spark, *turns):
-    schema = "messages array<struct<role:string,content:string>>"
-    df = spark.createDataFrame([([{"role": r, "content": c} for r, c in turns],)], schema)
-    return df.select(gate.reasons(F.col("messages"), "Acme", "acme_").alias("r")).first()["r"]
+    df = spark.createDataFrame([([{"role": r, "content": c} for r, c in turns],)], T.StructType([T.StructField("messages", T.ArrayType(jsonl.MESSAGE))]))
+    return df.select(verdicts.reasons(F.col("messages"), "Acme", "acme_").alias("r")).first()["r"]
 
 
 def test_clean_transcript_passes(spark):
@@ -52,7 +51,7 @@ def test_write_claims(spark):
 
 def test_clean_reasoning(spark):
     text = "No emojis here. " + LONG + " " + LONG
-    row = spark.createDataFrame([(text,)], "t string").select(tx.clean_reasoning(F.col("t"), gate.INSTRUCTION_ECHO).alias("x")).first()["x"]
+    row = spark.createDataFrame([(text,)], "t string").select(tx.clean_reasoning(F.col("t"), gate.instruction_echo("Acme")).alias("x")).first()["x"]
     assert row["removed"] == 1 and "emojis" not in row["text"]
 
 
@@ -95,3 +94,24 @@ def test_method_names(spark):
     df = spark.createDataFrame([("_hidden", None), ("action_confirm", "sale"), ("button_cancel", "cancel")], "n string, s string")
     got = [tuple(r) for r in df.select(relations.is_public(F.col("n")), relations.is_action(F.col("n")), relations.is_destructive(F.col("n"), F.col("s"))).collect()]
     assert got == [(False, False, False), (True, True, False), (True, True, True)]
+
+
+def test_null_keys_keep_their_rows(spark):
+    rows = spark.createDataFrame([(1, None), (2, "a"), (3, None), (4, "a"), (5, "")], "id int, t string")
+    got = {r["id"]: (r["duplicate"], r["near_duplicate"]) for r in gate.first_wins(rows, "id", F.col("t"), F.col("t")).collect()}
+    assert got == {1: (False, False), 2: (False, False), 3: (True, False), 4: (True, False), 5: (False, False)}
+
+
+def test_judge(spark):
+    answer = LONG + " Reference 12."
+    turns = {
+        1: [("user", "please confirm order 12 now"), ("assistant", answer)],
+        2: [("user", "please confirm order 12 now"), ("assistant", answer)],
+        3: [("user", "Please confirm order 99 now"), ("assistant", answer.replace("12", "7"))],
+        4: [("user", "alone")],
+        5: [("user", "alone")],
+        6: [("user", "Confirm sales order S1 for Ann."), ("assistant", answer + " acme")],
+    }
+    df = spark.createDataFrame([(k, [{"role": r, "content": c} for r, c in v]) for k, v in turns.items()], T.StructType([T.StructField("id", T.LongType()), T.StructField("messages", T.ArrayType(jsonl.MESSAGE))]))
+    got = {r["id"]: r["reasons"] for r in verdicts.judge(df, "id", "id", product="Acme").collect()}
+    assert got == {1: [], 2: ["duplicate"], 3: ["near_duplicate"], 4: ["malformed"], 5: ["malformed"], 6: ["robotic_prompt", "truncated"]}
