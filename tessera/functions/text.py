@@ -63,12 +63,18 @@ def scrub_think(c: Column, directive: str, least: int = 150) -> Column:
     return F.struct(text.alias("text"), (text != c).alias("changed"))
 
 
+#: Fixed value: a closing clause on an answer's last line.
+CLOSING = r"\s*(?:Let me know if [^.\n]*\.?|I hope this helps\.?|Would you like me to [^?\n]*\?)\s*$"
+
+
 def drop_chatty_tail(c: Column, chatty: str) -> Column:
-    """Text without the lines at its end that match the pattern or are empty."""
-    lines = F.split(c, "\n")
-    flags = F.transform(lines, lambda x: x.rlike(chatty) | (strip(x) == ""))
+    """Text without the lines at its end that match the pattern, a closing clause after them, and
+    white space at the end."""
+    bare = lambda x: F.rtrim(x, F.lit(SPACE))
+    lines = F.split(bare(c), "\n")
+    flags = F.transform(lines, lambda x: x.rlike(chatty))
     last = F.aggregate(F.sequence(F.lit(1), F.size(lines)), F.lit(0), lambda a, i: F.when(F.element_at(flags, i), a).otherwise(i))
-    return F.array_join(F.slice(lines, F.lit(1), last), "\n")
+    return bare(F.regexp_replace(bare(F.array_join(F.slice(lines, F.lit(1), last), "\n")), CLOSING, ""))
 
 
 def split_reasoning(c: Column) -> Column:

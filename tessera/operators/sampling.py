@@ -50,8 +50,9 @@ def round_targets(families: DataFrame, target: str, chunk: int) -> DataFrame:
 
 
 def draw(seed: str, index: Column, salt: str, n: int) -> Column:
-    """A reproducible choice in [0, n) for an index."""
-    return F.pmod(F.xxhash64(F.concat_ws("|", F.lit(seed), F.lit(salt), index.cast("string"))), F.lit(n)).cast("int")
+    """A reproducible choice in [0, n) for an index, from 60 bits of a digest that any engine has."""
+    digest = F.sha2(F.concat_ws("|", F.lit(seed), F.lit(salt), index.cast("string")), 256)
+    return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"), F.lit(n)).cast("int")
 
 
 def prefix_until(rows: DataFrame, key: str, order: str, failed: Column) -> DataFrame:

@@ -336,11 +336,6 @@ def fallback(spark, d):
     return relations.fallback_join(rows, exact, "n_nationkey", wide, "n_regionkey", "label").select("s_suppkey", "label")
 
 
-@query("join01_models_methods", "select distinct c_mktsegment, o_orderpriority from customer join orders on c_custkey = o_custkey")
-def models_methods(spark, d):
-    return table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey")).select("c_mktsegment", "o_orderpriority").distinct()
-
-
 # -- aggregates, samples ------------------------------------------------------------------------
 
 
@@ -371,12 +366,6 @@ def quantiles(spark, d):
     return summaries.discrete_quantiles(table(spark, d, "documents"), "n_chars", 3000)
 
 
-@query("agg12_usage_share", "select event_type, count(*) as n, count(*) / sum(count(*)) over () as share from events group by 1")
-def usage_share(spark, d):
-    counts = table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
-
-
 @query("agg14_method_index", "select user_id, array_to_string(list_sort(list_distinct(list(event_type) || ['create', 'write'])), ',') as methods from events group by 1")
 def method_index(spark, d):
     known = F.array_sort(F.array_union(F.collect_set("event_type"), F.array(F.lit("create"), F.lit("write"))))
@@ -439,12 +428,6 @@ def missing(spark, d):
     return table(spark, d, "nation").select("n_nationkey").exceptAll(rich.distinct()).distinct()
 
 
-@query("gen02_draws")
-def draws(spark, d):
-    i = F.col("index")
-    return spark.range(10_000).select(F.col("id").alias("index")).select("index", sampling.draw("20260317", i, "model", 20).alias("model"), sampling.draw("20260317", i, "persona", 20).alias("persona"), sampling.draw("20260317", i, "situation", 89).alias("situation"))
-
-
 # -- calls, scores, generated samples -----------------------------------------------------------
 
 
@@ -538,3 +521,6 @@ def fact_plan(spark, d):
     fields = spark.createDataFrame([("orders", "o_custkey", "Many2one", "customer", True), ("part", "p_name", "Char", None, True)], "model_name string, field_name string, field_type string, comodel_name string, required boolean")
     found = facts.derive(_star_catalog(spark)[0], fields, edges(spark).select("source_model", "target_model", F.lit("Many2one").alias("rel_type"), "field_name"))
     return facts.plan(found, "20260317").select(facts.fact_key().alias("fact"), "draw", "repetition", "question", F.sha2("grounding", 256).alias("grounding_sha256"))
+
+
+from . import paths  # noqa: E402, F401  (registers its queries)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -31,3 +33,18 @@ def ship(spark: SparkSession) -> SparkSession:
     if root not in known.split(":"):
         spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
     return spark
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path, shared by driver and executors, that goes when the session's JVM ends:
+    below spark.checkpoint.dir, or in a temporary folder of a local master."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="tessera-")
+    path = f"{shared.rstrip('/')}/tessera/{name}-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path

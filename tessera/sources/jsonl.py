@@ -18,8 +18,9 @@ META = T.StructType([T.StructField(n, T.StringType()) for n in ("key", "family",
 SAMPLE = T.StructType([T.StructField("messages", T.ArrayType(MESSAGE)), T.StructField("_meta", META)])
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = SAMPLE) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str = SAMPLE) -> DataFrame:
     """Rows of JSON lines; blank, torn and malformed lines are left out."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     bad = "_corrupt_line"
     rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(bad, T.StringType())])).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad).json(path)
     return rows.where(F.col(bad).isNull()).drop(bad).dropna("all")

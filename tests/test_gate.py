@@ -73,16 +73,6 @@ def test_jsonl_and_streams(spark, tmp_path):
     assert sorted(r["key"] for r in spark.read.parquet(str(tmp_path / "t")).collect()) == ["a", "b"]
 
 
-def test_source_tree(spark, tmp_path):
-    (tmp_path / "m").mkdir()
-    (tmp_path / "m" / "a.py").write_text('class A(models.Model):\n    _name = "x.a"\n    _inherit = ["x.b"]\n    p = fields.Many2one("x.c", string="P")\n    def action_go(self):\n        "Go."\n')
-    (tmp_path / "m" / "bad.py").write_text("class (")
-    rows = source_tree.scan_tree(spark, str(tmp_path))
-    assert sorted((r["kind"], r["name"]) for r in rows.collect() if r["kind"] != "error") == [("field", "p"), ("inherits", "x.b"), ("method", "action_go"), ("model", "A")]
-    assert rows.where("kind = 'error'").count() == 1
-    assert {(r["target_model"], r["rel_type"]) for r in source_tree.edges_of(rows).collect()} == {("x.c", "Many2one"), ("x.b", "INHERITS")}
-
-
 def test_split_does_not_leak(spark):
     rows = spark.range(1000).select("id", (F.col("id") % 37).alias("g"))
     out = sampling.leak_free_split(rows, "g", 0.1, F.sha2(F.col("g").cast("string"), 256))

@@ -38,7 +38,8 @@ def test_texts(spark):
     got = one(spark, tx.scrub_think(F.lit(f"A <think>No emojis here. {keep}</think> B <think>No emojis.</think> C <think>fine</think>"), "(?i)no emojis"))
     assert got["changed"] and got["text"] == f"A <think>{keep.strip()}</think> B  C <think>fine</think>"
     assert one(spark, tx.scrub_think(F.lit("plain"), "(?i)no emojis")).asDict() == {"text": "plain", "changed": False}
-    assert one(spark, tx.drop_chatty_tail(F.lit("Done.\nHope this helps\n\nGood luck with it"), "(?i)hope this|good luck")) == "Done."
+    assert one(spark, tx.drop_chatty_tail(F.lit("Done.\nHope this helps\n\nGood luck with it"), "(?i)hope this|good luck")) == "Done.\nHope this helps"
+    assert one(spark, tx.drop_chatty_tail(F.lit("Done.\nHope this helps\nGood luck"), "(?i)hope this|good luck")) == "Done."
     assert one(spark, tx.drop_chatty_tail(F.lit("Good luck"), "(?i)good luck")) == ""
     assert one(spark, tx.split_reasoning(F.lit("<think> a </think> b"))).asDict() == {"reasoning": "a", "answer": "b"}
     assert one(spark, tx.split_reasoning(F.lit("abcdefghi"))).asDict() == {"reasoning": "abc", "answer": "abcdefghi"}
