@@ -110,7 +110,8 @@ def _packs(paths: Iterator[tuple[str, list[tuple[str, str]]]], most: int) -> Ite
 def _sequences(turns: DataFrame, conv_id: str, turn: str, role: str, text: str) -> DataFrame:
     """(conv_id, turns, path_key) of each conversation."""
     clean = turns.select(F.col(conv_id).alias("conv_id"), F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")).alias("t"))
-    own = clean.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ts"))
+    own = clean.where("conv_id is not null").groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ts"))
+    own = own.unionByName(clean.where("conv_id is null").select("conv_id", F.array("t").alias("ts")))
     own = own.select("conv_id", F.transform("ts", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
     hashes = F.transform("turns", lambda t: F.substring(F.sha2(F.concat(F.length(t["role"]).cast("string"), F.lit(":"), t["role"], t["text"]), 256), 1, 32))
     return own.withColumn("path_key", F.array_join(hashes, ""))
@@ -121,8 +122,8 @@ def prefix_packs(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     parent, position id of the first character, loss interval, ancestors' intervals), leaves
     (path_key, node).  members: (conv_id, path_key); conversations of equal turns share a leaf.
 
-    Turns are ordered by turn, then role, then text; null roles and texts count as empty, and rows
-    of null conv_id are one conversation; repeated rows are turns of their own; a conversation longer
+    Turns are ordered by turn, then role, then text; null roles and texts count as empty, and each
+    row of null conv_id is a conversation of its own; repeated rows are turns of their own; a conversation longer
     than pack_chars is a pack by itself; an empty table gives empty results; other columns are not
     read.
     """

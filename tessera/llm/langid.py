@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .columns import set_aside
 from .streams import text_slices
 from .workers import lean, resident, vacate
 
@@ -167,10 +168,13 @@ def language_id(docs: DataFrame, train: DataFrame | None = None, text: str = "te
     """docs with columns lang_pred and score added (columns of those names are replaced), by a
     model fitted on train (default: docs).
 
-    Null texts and texts without a letter get und and 0; empty training gives und throughout;
-    repeated rows get equal results; the label column of docs is not read for predictions.
+    Null texts and texts without a letter get und and 0; empty training gives und throughout; ties
+    go to the first language in order; texts of any length are read whole, in slices of about a MB;
+    repeated rows get equal results; other columns, whatever their names, stay as they are; the
+    label column of docs is not read for predictions.
     """
     model = fit(docs if train is None else train, text, lang)
     predict = identify(docs.sparkSession, model)
-    rest = docs.drop("lang_pred", "score", "_language")
-    return rest.withColumn("_language", predict(F.col(text))).select("*", "_language.lang_pred", "_language.score").drop("_language")
+    rest, back = set_aside(docs.drop("lang_pred", "score"), ("_language",))
+    found = rest.withColumn("_language", predict(F.col(text))).select("*", "_language.lang_pred", "_language.score")
+    return back(found.drop("_language"))

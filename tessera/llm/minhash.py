@@ -40,6 +40,8 @@ RATE = 20.0
 TOP = (1 << 16) - 1
 MISS = 1e-6
 BLOCK = 256
+#: bytes of full sets that a block may hold, a single set aside
+BLOCK_BYTES = 8 << 20
 SHINGLES_AT_ONCE = 1024
 MEMO_ENTRIES = 300_000
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -261,8 +263,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = materialize(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("member")), "classes")
 
     lead = classes.groupBy("member").agg(F.min(F.struct("h1", "h2")).alias("d")).select("member", "d.h1", "d.h2")
-    bands = full.join(lead, [full.doc_id == lead.member, full.h1 == lead.h1, full.h2 == lead.h2]).select("member", "bands").dropDuplicates(["member"])
-    entries = bands.select("member", F.explode("bands").alias("band"))
+    bands = full.join(lead, [full.doc_id == lead.member, full.h1 == lead.h1, full.h2 == lead.h2]).select("member", "bands", F.col("n_shingles").alias("weight")).dropDuplicates(["member"])
+    entries = bands.select("member", "weight", F.explode("bands").alias("band"))
+    blocks = lambda n, shingles: F.greatest(F.ceil(n / block), F.ceil(shingles * 8 / BLOCK_BYTES)).cast("int")
     sizes = entries.groupBy("band").agg(F.min("member").alias("pivot"), F.count("*").alias("size")).where("size > 1")
     shared = materialize(entries.join(sizes, "band"), "bands")
 
@@ -270,8 +273,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sets = materialize(_full_sets(docs, doc_id, text, wanted, lead, shingle), "sets")
 
     # every member with the least one of its buckets
-    star = shared.where("member <> pivot").select("member", "pivot").distinct()
-    widths = star.groupBy("pivot").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    star = shared.where("member <> pivot").select("member", "pivot", "weight").distinct()
+    widths = star.groupBy("pivot").agg(blocks(F.count("*"), F.sum("weight")).alias("blocks"))
     dealt = star.join(widths, "pivot").select(F.col("pivot").alias("k1"), salt("member", F.col("blocks")).alias("k2"), F.lit(1).alias("side"), "member")
     centres = widths.select(F.col("pivot").alias("k1"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("k2"), F.lit(0).alias("side"), F.col("pivot").alias("member"))
     groups = dealt.union(centres).withColumn("comp", F.col("member")).withColumn("inner", F.lit(0))
@@ -279,7 +282,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     first = materialize(connected_components(edges), "first")
 
     # what is left: members of different components in one bucket, other than with its least one
-    placed = shared.join(first.withColumnRenamed("node", "member"), "member", "left").select("band", "member", "pivot", F.coalesce("component", "member").alias("comp"))
+    placed = shared.join(first.withColumnRenamed("node", "member"), "member", "left").select("band", "member", "pivot", "weight", F.coalesce("component", "member").alias("comp"))
     mixed = (
         placed.groupBy("band")
         .agg(F.min_by("comp", "member").alias("main"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
@@ -287,7 +290,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .select("band", "main")
     )
     open_ = materialize(placed.join(mixed, "band").where("member <> pivot").withColumn("odd", F.col("comp") != F.col("main")), "open")
-    counts = open_.groupBy("band").agg(F.ceil(F.count_if("odd") / block).cast("int").alias("odd_blocks"), F.ceil(F.count_if(~F.col("odd")) / block).cast("int").alias("main_blocks"))
+    of = lambda test: blocks(F.count_if(test), F.sum(F.when(test, F.col("weight")).otherwise(0)))
+    counts = open_.groupBy("band").agg(of(F.col("odd")).alias("odd_blocks"), of(~F.col("odd")).alias("main_blocks"))
     # group (band, i, j): odd block i with odd block j >= i, or with main block j - odd_blocks
     split = open_.join(counts.where("odd_blocks > 0"), "band")
     odd = split.where("odd").withColumn("own", salt("member", F.col("odd_blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("odd_blocks") + F.col("main_blocks") - 1)))

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import set_aside
 from .store import materialize
 
 SCOPE = 200
@@ -91,10 +92,11 @@ def scan_secrets(docs: DataFrame, text: str = "text", scope: int = SCOPE, keep_t
     patterns' spans, secrets also the linked weak ones.  Offsets are code points, ends exclusive.
 
     A null text counts as empty and has no spans; weak candidates that overlap a strong span link
-    others but are not reported themselves; repeated rows are scanned each for itself; an empty
-    table gives an empty result.
+    others but are not reported themselves; texts of any length are scanned whole; repeated rows are
+    scanned each for itself; other columns, whatever their names, stay as they are; an empty table
+    gives an empty result.
     """
-    own = docs.drop("base", "secrets", "_weak", "_covered", "_row")
+    own, back = set_aside(docs.drop("base", "secrets"), ("_weak", "_covered", "_row", "_linked"))
     whole = F.coalesce(F.col(text), F.lit(""))
     strong = [_spans(whole, *p, i) for i, p in enumerate(STRONG)]
     weak = [_spans(whole, *p, len(STRONG) + i) for i, p in enumerate(WEAK)]
@@ -116,7 +118,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", scope: int = SCOPE, keep_t
     linked = met.where("got = n").groupBy("_row").agg(F.collect_list(F.struct("start", "order", "end", "kind", "part")).alias("_linked"))
     more = F.coalesce("_linked", F.array().cast(_SPAN))
     joined = found.join(linked, "_row", "left")
-    return joined.withColumn("secrets", F.array_sort(F.concat("base", more))).drop("_row", "_weak", "_covered", "_linked")
+    return back(joined.withColumn("secrets", F.array_sort(F.concat("base", more))).drop("_row", "_weak", "_covered", "_linked"))
 
 
 def span_text(spans: Column | str) -> Column:

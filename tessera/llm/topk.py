@@ -29,12 +29,11 @@ _EXACT = float(1 << 53)
 
 
 def _dots(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact inner products of integer rows (held as doubles) with q, as int64; beyond its range
-    they are held at its ends."""
+    """Exact inner products of integer rows (held as doubles) with q, as int64; one beyond a long
+    raises OverflowError."""
     if len(x) and float(np.abs(x).max()) * float(np.abs(q).max(initial=0)) * x.shape[1] >= _EXACT:
-        top = (1 << 63) - 1
         own = [int(v) for v in q.tolist()]
-        return np.array([max(-top - 1, min(top, sum(int(a) * b for a, b in zip(row, own)))) for row in x.tolist()], dtype=np.int64)
+        return np.array([sum(int(a) * b for a, b in zip(row, own)) for row in x.tolist()], dtype=np.int64)
     return (x @ q).astype(np.int64)
 
 
@@ -138,8 +137,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, vec_id: str = "vec_id", emb
     Returns query_id, rank (from 1), vec_id, score.  Vectors that are null, empty or hold a null
     or non-finite component take no part, nor do rows of null id; vectors of another length than
     the query's score nothing with it; of rows that repeat an id and a score each counts; fewer
-    candidates give fewer rows; an empty table gives an empty result.  Scores beyond a long are
-    held at its ends.
+    candidates give fewer rows; an empty table gives an empty result.  A score beyond a long fails
+    the query instead of being cut to it.
     """
     spark = vectors.sparkSession
     x = F.col(embedding).cast("array<double>")

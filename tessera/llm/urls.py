@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .columns import set_aside
 from .components import connected_components
 from .store import materialize
 
@@ -117,10 +118,11 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], links: DataF
     columns of those names are replaced.
 
     links: further redirects as (u, v) urls.  Null urls and urls without :// have empty host and
-    path, no rule and no aliases, and are allowed; repeated urls share a decision; an empty table
+    path, no rule and no aliases, and are allowed; repeated urls share a decision; texts of any
+    length are read whole; other columns, whatever their names, stay as they are; an empty table
     gives an empty result; a missing html adds no links.
     """
-    base = pages.drop("host", "path", "rule", "verdict", "decided_by", "_rule", "_address")
+    base, back = set_aside(pages.drop("host", "path", "rule", "verdict", "decided_by"), ("_rule", "_address", "_node", "_alias"))
     own = base.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url)), "_address": address(F.col(url))})
     own = own.withColumn("_rule", fitting_rule(F.col("host"), F.col("path"), rules))
     edges = None
@@ -146,4 +148,4 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], links: DataF
             "decided_by": F.when(F.col("_rule").isNotNull(), "rule").when(F.col("_alias").isNotNull(), "alias").otherwise("default"),
         }
     )
-    return out.drop("_rule", "_alias", "_node", "_address")
+    return back(out.drop("_rule", "_alias", "_node", "_address"))

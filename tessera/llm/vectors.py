@@ -33,7 +33,10 @@ PROBES = 4
 OCCUPANCY = 8
 MISS = 1e-5
 BLOCK = 512
-MAX_TABLES = 200
+#: tables that are worth their entries; beyond, fewer hashes need fewer tables
+MOST_TABLES = 196
+#: where the tables of the trial begin, apart from those in use
+_TRIAL = 1 << 20
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -47,9 +50,10 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / math.sqrt(d)
 
 
-@functools.lru_cache(maxsize=4)
-def _signs(size: int, tables: int, hashes: int) -> np.ndarray:
-    return np.random.default_rng([7, size, hashes]).integers(0, 2, size=(tables, hashes, 3, size), dtype=np.int8) * 2.0 - 1.0
+@functools.lru_cache(maxsize=1024)
+def _signs(size: int, table: int, hashes: int) -> np.ndarray:
+    """Signs of a table's rotations, drawn when the table is asked for."""
+    return np.random.default_rng([7, size, hashes, table]).integers(0, 2, size=(hashes, 3, size), dtype=np.int8)
 
 
 def bucket_codes(unit: np.ndarray, tables: int, hashes: int, probes: int, first: int = 0) -> np.ndarray:
@@ -58,15 +62,14 @@ def bucket_codes(unit: np.ndarray, tables: int, hashes: int, probes: int, first:
     size = 1 << max(1, (d - 1).bit_length())
     padded = np.zeros((n, size))
     padded[:, :d] = unit
-    signs = _signs(size, MAX_TABLES, hashes)
     out = np.empty((n, tables, probes), dtype=np.int64)
     width = min(probes, 2 * size)
     for t in range(tables):
         codes, costs = np.full((n, 1), d, dtype=np.int64), np.zeros((n, 1))
         for k in range(hashes):
             y = padded
-            for s in signs[first + t, k]:
-                y = hadamard(y * s)
+            for s in _signs(size, first + t, hashes)[k]:
+                y = hadamard(y * (s * 2.0 - 1.0))
             both = np.concatenate([y, -y], axis=1)
             top = np.argpartition(-both, width - 1, axis=1)[:, :width]
             value = np.take_along_axis(both, top, axis=1)
@@ -94,7 +97,7 @@ def table_count(d: int, cosine: float, hashes: int, probes: int, miss: float = M
     b -= (a * b).sum(1, keepdims=True) * a
     norm = np.linalg.norm(b, axis=1, keepdims=True)
     b = cosine * a + math.sqrt(max(0.0, 1 - cosine * cosine)) * b / np.where(norm > 0, norm, 1)
-    ca, cb = (bucket_codes(x, 4, hashes, probes, MAX_TABLES - 4) for x in (a, b))
+    ca, cb = (bucket_codes(x, 4, hashes, probes, _TRIAL) for x in (a, b))
     found = float((ca[:, :, :, None] == cb[:, :, None, :]).any(axis=(2, 3)).mean())
     if found >= 1:
         return 1
@@ -106,7 +109,7 @@ def plan(d: int, cosine: float, hashes: int, probes: int, miss: float = MISS) ->
     not too many; without hashes all vectors share one bucket and no pair is missed."""
     for h in range(hashes, 0, -1):
         tables = table_count(d, cosine, h, probes, miss)
-        if tables <= MAX_TABLES - 4:
+        if tables <= MOST_TABLES:
             return h, tables
     return 0, 1
 
@@ -131,14 +134,11 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     sound = F.coalesce(F.col("vec_id").isNotNull() & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & (F.aggregate("x", F.lit(0.0), lambda s, v: F.greatest(s, F.abs(v))) > 0), F.lit(False))
     rows = rows.select("vec_id", F.when(sound, F.col("x")).alias("x"))
     classes = materialize(rows.where("x is not null").groupBy("x").agg(F.min("vec_id").alias("member"), F.count("*").alias("weight")), "vectors")
-    facts = classes.select(F.size("x").alias("d")).groupBy("d").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(64).collect()
-    shapes = {r["d"]: (hash_count(r["n"], r["d"], probes), r["n"]) for r in facts}
-    most = max((h for h, _ in shapes.values()), default=1)
-    plans = {d: plan(d, cosine, h, probes, miss) for d, (h, _) in shapes.items()}
+    total = classes.count()
 
     def codes_of(x: np.ndarray) -> np.ndarray:
         d = x.shape[1]
-        h, tables = plans.get(d) or plan(d, cosine, most, probes, miss)
+        h, tables = plan(d, cosine, hash_count(total, d, probes), probes, miss)
         return bucket_codes(x, tables, h, probes)
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
