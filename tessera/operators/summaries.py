@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sampling import before_totals, bounds_of, bucket_of
+
 
 def manifest(rows: DataFrame, dimensions: list[str]) -> DataFrame:
     """Counts by each dimension and in total in one pass: (dimension, value, n)."""
@@ -25,11 +27,11 @@ def tally(rows: DataFrame, reasons: str) -> DataFrame:
 
 def discrete_quantiles(rows: DataFrame, value: str, limit: float) -> DataFrame:
     """The elements at n // 2 and floor(0.95 n) of the sorted values, the largest, and the share
-    above the limit, from a histogram of distinct values instead of a sort of all rows."""
+    above the limit, from a histogram of distinct values instead of a sort of all rows; prefix
+    sums run in parts of the values' range."""
     counts = rows.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("c"))
-    # the distinct values are ranged over partitions; only ranges' totals are summed in one place
-    upto = F.sum("c").over(Window.orderBy(value))
-    ranked = counts.select(value, "c", upto.alias("upto"), F.sum("c").over(Window.partitionBy()).alias("n"))
+    ranked = before_totals(counts, [value], "c", bucket_of(F.col(value), bounds_of(rows, value)), "before")
+    ranked = ranked.select(value, "c", (F.col("before") + F.col("c")).alias("upto"), F.col("_total").alias("n"))
     at = lambda k: F.min(F.when(F.col("upto") > k, F.col(value)))
     return ranked.agg(
         F.coalesce(F.max("n"), F.lit(0)).alias("n"),

@@ -105,3 +105,12 @@ def test_judge(spark):
     df = spark.createDataFrame([(k, [{"role": r, "content": c} for r, c in v]) for k, v in turns.items()], T.StructType([T.StructField("id", T.LongType()), T.StructField("messages", T.ArrayType(jsonl.MESSAGE))]))
     got = {r["id"]: r["reasons"] for r in verdicts.judge(df, "id", "id", product="Acme").collect()}
     assert got == {1: [], 2: ["duplicate"], 3: ["near_duplicate"], 4: ["malformed"], 5: ["malformed"], 6: ["robotic_prompt", "truncated"]}
+
+
+def test_interleave_without_tiers(spark):
+    rows = spark.createDataFrame([(k, 1 if k < 3 else 3) for k in range(5)], "id int, tier int")
+    got = [r["id"] for r in sampling.tier_interleave(spark, rows, "tier", "id", 100).orderBy("slot").collect()]
+    assert got == [k % 3 for k in range(80)] + [3 + k % 2 for k in range(15)] + [(80 + k) % 3 for k in range(5)]
+    bare = [r["id"] for r in sampling.tier_interleave(spark, rows.withColumn("tier", F.lit(2)), "tier", "id", 7).orderBy("slot").collect()]
+    assert bare == [0, 1, 2, 3, 4, 0, 1]
+    assert sampling.tier_interleave(spark, rows.limit(0), "tier", "id", 7).count() == 0
