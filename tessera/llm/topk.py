@@ -1,12 +1,14 @@
 """Exact top-k by inner product with M-trees.
 
-The vectors are dealt to trees of bounded size.  Each tree is built in one task as an M-tree
-(Ciaccia, Patella, Zezula, 1997) under Euclidean distance: pages of at most PAGE entries, each
-entry with its covering radius and its distance to the page's routing vector.  Every block of
-queries visits every tree best-first.  For a query q and a vector within r of c, the inner product
-is at most q.c + |q| r; with the stored distance of c to its parent p also q.c <= q.p + |q| d(p, c),
-so whole entries are passed over without computing q.c.  Each query starts from the k-th score that
-a fixed pilot of the vectors gives it, a bound that holds for the whole table.
+Routing vectors from a bounded sample part the space in cells: every vector goes to the nearest one,
+and a cell's covering radius is the distance of its farthest vector.  Cells are cut into trees of
+bounded bytes, each built in one task as an M-tree (Ciaccia, Patella, Zezula, 1997) under Euclidean
+distance: pages of at most PAGE entries, each entry with its covering radius and its distance to the
+page's routing vector.  For a query q and a vector within r of c, the inner product is at most
+q.c + |q| r; with the stored distance of c to its parent p also q.c <= q.p + |q| d(p, c), so whole
+entries are passed over without computing q.c.  Each query starts from the k-th score that the
+sample gives it, a bound that holds for the whole table, is sent only to the trees of cells whose
+bound reaches it, and visits each best-first.
 """
 
 from __future__ import annotations
@@ -19,24 +21,48 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import materialize
 from .streams import emit, grouped
+from .workers import lean, vacate
 
 PAGE = 64
-TREE_ROWS = 8192
+#: bytes of the vectors of a tree, and of the sample; queries that visit a tree in one task
+TREE_BYTES = 16 << 20
+SAMPLE_BYTES = 32 << 20
+QUERY_SHARE = 1 << 16
 QUERY_BLOCK = 256
 PILOT = 1024
+CELLS = 256
 _EXACT = float(1 << 53)
+_LONG = (1 << 63) - 1
 
 
 def _dots(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact inner products of integer rows (held as doubles) with q, as int64; one beyond a long
-    raises OverflowError."""
+    """Exact inner products of integer rows (held as doubles) with q: as int64, or as Python
+    integers where they might not fit."""
     if len(x) and float(np.abs(x).max()) * float(np.abs(q).max(initial=0)) * x.shape[1] >= _EXACT:
         own = [int(v) for v in q.tolist()]
-        return np.array([sum(int(a) * b for a, b in zip(row, own)) for row in x.tolist()], dtype=np.int64)
+        out = np.empty(len(x), dtype=object)
+        out[:] = [sum(int(a) * b for a, b in zip(row, own)) for row in x.tolist()]
+        return out
     return (x @ q).astype(np.int64)
 
 
+def _below(score: int) -> float:
+    """A double that is not above the score."""
+    near = float(score)
+    return near if abs(near) < _EXACT else float(np.nextafter(near, -np.inf))
+
+
+def _far(score: int) -> str | None:
+    """What orders scores beyond a long among themselves, as text; null for others."""
+    if -_LONG - 1 <= score <= _LONG:
+        return None
+    digits = str(abs(score))
+    text = f"{len(digits):08d}{digits}"
+    return text if score > 0 else text.translate(str.maketrans("0123456789", "9876543210"))
+
+
 class MTree:
     """Nodes in arrays: a node is a page of entries, and an entry is a child node or a row."""
 
@@ -90,7 +116,7 @@ class MTree:
         length = float(np.sqrt((q * q).sum()))
         slack = 1e-9 * (length * float(np.abs(self.x).max()) * np.sqrt(len(q)) + 1) + 0.5
         best: list[tuple[int, int]] = []  # heap of (score, -id)
-        least = -np.inf if floor is None else float(floor)
+        least = -np.inf if floor is None else _below(floor)
         done = 0
         tie = 0
         queue: list[tuple] = [(-np.inf, tie, self.root, None)]
@@ -115,7 +141,7 @@ class MTree:
                     elif (s, -i) > best[0]:
                         heapq.heapreplace(best, (s, -i))
                 if len(best) == k:
-                    least = max(least, float(best[0][0]))
+                    least = max(least, _below(best[0][0]))
                 continue
             open_ = np.arange(len(items))
             if to_centre is not None:
@@ -130,40 +156,64 @@ class MTree:
         return sorted(((s, -i) for s, i in best), key=lambda p: (-p[0], p[1])), done
 
 
-def top_k(vectors: DataFrame, is_query, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", *, scale: int = 1024, tree_rows: int = TREE_ROWS, query_block: int = QUERY_BLOCK, pilot: int = PILOT) -> DataFrame:
+def top_k(vectors: DataFrame, is_query, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", *, scale: int = 1024, tree_rows: int | None = None, query_block: int = QUERY_BLOCK, pilot: int = PILOT, cells: int = CELLS) -> DataFrame:
     """For each query row (is_query: a condition over vectors), the k rows of the largest inner
     product of floor(scale * x), its own id aside; ties go to the smaller id.
 
     Returns query_id, rank (from 1), vec_id, score.  Vectors that are null, empty or hold a null
     or non-finite component take no part, nor do rows of null id; vectors of another length than
-    the query's score nothing with it; of rows that repeat an id and a score each counts; fewer
-    candidates give fewer rows; an empty table gives an empty result.  A score beyond a long fails
-    the query instead of being cut to it.
+    the query's score nothing with it; of rows that repeat an id and a score each counts as a
+    candidate, and as a query once; fewer candidates give fewer rows; an empty table gives an empty
+    result.  Scores beyond a long are ranked by what they are and shown as its ends.
     """
     spark = vectors.sparkSession
     x = F.col(embedding).cast("array<double>")
     sound = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = vectors.select(F.col(vec_id).cast("bigint").alias("id"), x.alias("raw"), is_query.alias("query")).where(F.col("id").isNotNull() & F.coalesce(sound, F.lit(False)) & (F.size("raw") > 0))
-    rows = rows.select("id", F.transform("raw", lambda v: _floored(v, scale)).alias("x"), "query")
-    n = rows.count()
-    trees = max(1, -(-n // tree_rows))
-    queries = rows.where("query")
-    blocks = max(1, -(-queries.count() // query_block))
-    sample = [(r["id"], r["x"]) for r in rows.orderBy(F.xxhash64("id"), "id").limit(pilot).select("id", "x").collect()]
-    shared = spark.sparkContext.broadcast(sample)
-    tree = F.pmod(F.xxhash64("id", F.lit("tree")), F.lit(trees)).cast("int")
-    block = F.pmod(F.xxhash64("id", F.lit("query")), F.lit(blocks)).cast("int")
-    stored = rows.select(tree.alias("tree"), F.lit(0).alias("side"), F.lit(-1).alias("block"), "id", "x")
-    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(1).alias("side"), block.alias("block"), "id", "x")
-    dealt = stored.union(asked).repartition(F.col("tree")).sortWithinPartitions("tree", "side", "block", "id")
+    rows = rows.select("id", F.transform("raw", lambda v: _floored(v, scale)).alias("x"), F.coalesce("query", F.lit(False)).alias("query"))
+    n, asked, width = rows.agg(F.count("*"), F.count_if("query"), F.coalesce(F.max(F.size("x")), F.lit(1))).first()
+    most = tree_rows or max(PAGE, TREE_BYTES // (8 * width))
+    spread = max(1, min(n // 1024, 2 * spark.sparkContext.defaultParallelism))  # trees that keep all cores busy
+    most = min(most, -(-n // spread)) if n and not tree_rows else most
+    sample = [(r["id"], r["x"]) for r in rows.orderBy(F.xxhash64("id"), "id").limit(max(1, min(pilot, SAMPLE_BYTES // (8 * width)))).select("id", "x").collect()]
+    router = Router(sample, min(cells, max(1, n // most)), k)
+    shared = spark.sparkContext.broadcast(router)
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from emit(_answers(batches, shared.value, k), pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())]))
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vacate()
+        for batch in lean(batches):
+            cell, far = shared.value.nearest(batch.column(1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32()), pa.array(far, pa.float64())], names=["id", "x", "query", "cell", "far"])
 
+    placed = materialize(rows.mapInArrow(assign, "id bigint, x array<double>, query boolean, cell int, far double"), "vectors")
+    facts = {r["cell"]: (r["n"], r["far"]) for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()}
+    parts = {c: -(-m // most) for c, (m, _) in facts.items()}
+    reach = spark.sparkContext.broadcast({c: (parts[c], far) for c, (_, far) in facts.items()})
+    shares = max(1, -(-asked // QUERY_SHARE))
+    blocks = max(1, -(-asked // (shares * query_block)))
 
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vacate()
+        for batch in lean(batches):
+            own, at, cut, floors = shared.value.visits(batch.column(0), batch.column(1), reach.value)
+            whole = batch.take(pa.array(own))
+            yield pa.RecordBatch.from_arrays([whole.column(0), whole.column(1), pa.array(at, pa.int32()), pa.array(cut, pa.int32()), pa.array(floors, pa.string())], names=["id", "x", "cell", "part", "floor"])
 
-    found = dealt.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    share, block = (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(count)).cast("int") for salt, count in (("share", shares), ("query", blocks)))
+    queries = placed.where("query").select("id", "x").dropDuplicates(["id", "x"]).mapInArrow(visit, "id bigint, x array<double>, cell int, part int, floor string")
+    queries = queries.select("cell", "part", share.alias("share"), F.lit(1).alias("side"), block.alias("block"), "id", "x", "floor")
+    known = F.create_map(*[F.lit(v) for c, p in parts.items() for v in (c, p)]) if parts else F.create_map(F.lit(0), F.lit(1))
+    stored = placed.select("cell", F.pmod(F.xxhash64("id", F.lit("part")), F.element_at(known, F.col("cell"))).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"), F.lit(0).alias("side"), F.lit(-1).alias("block"), "id", "x", F.lit(None).cast("string").alias("floor"))
+    tasks = min(4096, max(1, sum(parts.values()) * shares))
+    keys = ["cell", "part", "share", "side", "block"]
+    dealt = stored.union(queries).repartition(tasks, "cell", "part", "share").sortWithinPartitions(*keys, "id")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vacate()
+        yield from emit(_answers(batches, keys, k), pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("far", pa.string())]))
+
+    found = dealt.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint, far string")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("far"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -172,34 +222,98 @@ def _floored(v, scale: int):
     return F.when(F.abs(y) < float(1 << 53), F.floor(y).cast("double")).otherwise(y)  # larger doubles are whole
 
 
-def _answers(batches: Iterator[pa.RecordBatch], sample: list, k: int):
-    pilots: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for d in {len(v) for _, v in sample}:
-        own = [(i, v) for i, v in sample if len(v) == d]
-        pilots[d] = (np.array([i for i, _ in own]), np.array([v for _, v in own], dtype=np.float64))
+def _by_width(lists: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(width, positions, rows) of a column of vectors, for each width."""
+    lengths = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    for d in np.unique(lengths).tolist():
+        mine = np.flatnonzero(lengths == d)
+        yield d, mine, flat[starts[mine][:, None] + np.arange(d)]
+
+
+class Router:
+    """Cells of the space and first bounds, from a sample of (id, vector).  A width that the sample
+    lacks is one cell around the origin, numbered by the width, below zero."""
+
+    def __init__(self, sample: list, cells: int, k: int):
+        self.k = k
+        self.pilots: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.centres: dict[int, tuple[int, np.ndarray]] = {}  # width: first cell, vectors
+        first = 0
+        for d in sorted({len(v) for _, v in sample}):
+            own = [(i, v) for i, v in sample if len(v) == d]
+            x = np.array([v for _, v in own], dtype=np.float64)
+            self.pilots[d] = np.array([i for i, _ in own]), x
+            self.centres[d] = first, np.unique(x[: max(1, cells)], axis=0)
+            first += len(self.centres[d][1])
+
+    def _cells(self, d: int) -> tuple[np.ndarray, np.ndarray]:
+        if d not in self.centres:
+            return np.array([-d]), np.zeros((1, d))
+        first, c = self.centres[d]
+        return first + np.arange(len(c)), c
+
+    def nearest(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Cell of each vector and its distance to the cell's vector."""
+        cell, far = np.zeros(len(lists), dtype=np.int32), np.zeros(len(lists))
+        for d, mine, x in _by_width(lists):
+            names, c = self._cells(d)
+            for lo in range(0, len(mine), 2048):
+                part = x[lo : lo + 2048]
+                best = ((c * c).sum(axis=1)[None, :] - 2 * part @ c.T).argmin(axis=1)
+                cell[mine[lo : lo + 2048]] = names[best]
+                far[mine[lo : lo + 2048]] = np.sqrt(((part - c[best]) ** 2).sum(axis=1))
+        return cell, far
+
+    def visits(self, ids: pa.Array, lists: pa.Array, reach: dict[int, tuple[int, float]]):
+        """(row, cell, part, floor) of each tree that a query has to visit."""
+        own, at, cut, floors = [], [], [], []
+        keys = ids.to_numpy()
+        for d, mine, x in _by_width(lists):
+            names, c = self._cells(d)
+            known = np.array([j for j, name in enumerate(names.tolist()) if name in reach], dtype=np.int64)
+            radius = np.array([reach[int(names[j])][1] for j in known.tolist()])
+            for row, q in zip(mine.tolist(), x):
+                floor = self._floor(int(keys[row]), d, q)
+                length = float(np.sqrt((q * q).sum()))
+                upper = c[known] @ q + length * radius
+                slack = 1e-9 * (np.abs(upper) + length * radius + 1) + 0.5
+                open_ = known if floor is None else known[upper + slack >= _below(floor)]
+                for name in names[open_].tolist():
+                    for part in range(reach[name][0]):
+                        own.append(row)
+                        at.append(name)
+                        cut.append(part)
+                        floors.append(None if floor is None else str(floor))
+        return np.array(own, dtype=np.int64), at, cut, floors
+
+    def _floor(self, own: int, d: int, q: np.ndarray) -> int | None:
+        """The k-th score among the sample's other vectors."""
+        if d not in self.pilots:
+            return None
+        ids, x = self.pilots[d]
+        scores = _dots(x, q)[ids != own]
+        return int(sorted(scores.tolist())[-self.k]) if len(scores) >= self.k else None
+
+
+def _answers(batches: Iterator[pa.RecordBatch], keys: list[str], k: int):
     forest: dict[int, MTree] = {}
     at = None
-    for table in grouped(batches, ["tree", "side", "block"]):
+    for table in grouped(batches, keys):
+        here = tuple(table[c][0].as_py() for c in keys[:3])
         ids, lists = table["id"].to_numpy(), table["x"].combine_chunks()
-        lengths = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
-        flat = lists.flatten().to_numpy(zero_copy_only=False)
-        starts = np.concatenate([[0], np.cumsum(lengths)])
-        if table["tree"][0].as_py() != at:
-            at, forest = table["tree"][0].as_py(), {}
-        for d in np.unique(lengths).tolist():
-            mine = np.flatnonzero(lengths == d)
-            x = flat[starts[mine][:, None] + np.arange(d)]
-            if table["side"][0].as_py() == 0:
+        if here != at:
+            at, forest = here, {}
+        stored = table["side"][0].as_py() == 0
+        floors = None if stored else table["floor"].to_pylist()
+        for d, mine, x in _by_width(lists):
+            if stored:
                 forest[d] = MTree(ids[mine], x)
                 continue
             if d not in forest:
                 continue
-            for i, q in zip(ids[mine].tolist(), x):
-                floor = None
-                if d in pilots:
-                    others = pilots[d][0] != i
-                    scores = _dots(pilots[d][1], q)[others]
-                    if len(scores) >= k:
-                        floor = int(np.partition(scores, len(scores) - k)[len(scores) - k])
-                for s, v in forest[d].search(q, i, k, floor)[0]:
-                    yield i, v, s
+            for row, q in zip(mine.tolist(), x):
+                floor = floors[row]
+                for s, v in forest[d].search(q, int(ids[row]), k, None if floor is None else int(floor))[0]:
+                    yield int(ids[row]), v, max(-_LONG - 1, min(_LONG, s)), _far(s)

@@ -194,10 +194,41 @@ def test_repeated_and_long_texts(spark, monkeypatch):
 # -- search, clashes ----------------------------------------------------------------------------
 
 
-def test_scores_beyond_a_long_fail(spark):
-    df = spark.createDataFrame([(1, [1e16, 1.0]), (2, [1e16, 2.0])], "vec_id bigint, embedding array<double>")
-    with pytest.raises(Exception, match="OverflowError|too big|int too large|too large"):
-        topk.top_k(df, F.col("vec_id") == 1, 1).collect()
+def test_scores_beyond_a_long(spark):
+    """Ranked by what they are, above and below a long's ends, and shown as those."""
+    rows = [(1, [1e16, 1.0]), (2, [1e16, 2.0]), (3, [1e16, 3.0]), (4, [-1e16, 1.0]), (5, [-2e16, 1.0]), (6, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = topk.top_k(df, F.col("vec_id") == 1, 9).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in got] == [(3, 2**63 - 1), (2, 2**63 - 1), (6, 1 << 20), (4, -(2**63)), (5, -(2**63))]
+
+
+@pytest.mark.parametrize("clustered", [True, False])
+def test_search_in_cells(spark, clustered):
+    """Against all scores; on clustered vectors most cells are passed over."""
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((12, 16)) * (1 if clustered else 0)
+    x = centres[rng.integers(0, 12, 3000)] + rng.standard_normal((3000, 16)) * (0.05 if clustered else 1)
+    x[100] = x[200]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(5000, x[0, :8].tolist()), (5050, x[1, :8].tolist()), (0, x[0].tolist())]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(df, F.col("vec_id") % 50 == 0, 5, tree_rows=200, pilot=64, cells=24).collect())
+    whole = np.floor(1024 * np.array([v for _, v in rows if len(v) == 16])).astype(np.int64)
+    ids = [i for i, v in rows if len(v) == 16]
+    want = []
+    for i in range(0, 3000, 50):
+        best = sorted((-int(s), j) for s, j in zip(whole @ whole[i], ids) if j != i)[:5]
+        want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    short = np.floor(1024 * x[:2, :8]).astype(np.int64)
+    want += [(5000, 1, 5050, int(short[0] @ short[1])), (5050, 1, 5000, int(short[0] @ short[1]))]
+    assert got == sorted(want)
+    router = topk.Router([(i, np.floor(1024 * v).tolist()) for i, v in enumerate(x[:64])], 24, 5)
+    import pyarrow as pa
+
+    lists = pa.array([np.floor(1024 * v).tolist() for v in x], pa.list_(pa.float64()))
+    cell, far = router.nearest(lists)
+    reach = {int(c): (1, float(far[cell == c].max())) for c in np.unique(cell)}
+    visited = len(router.visits(pa.array(range(64)), lists.slice(0, 64), reach)[0]) / (64 * len(reach))
+    assert visited < 0.6 if clustered else visited <= 1
 
 
 OWN = ("_weak", "_covered", "_row", "_linked", "_language", "_rule", "_address", "_node", "_alias", "_aside0")
