@@ -8,9 +8,12 @@ that two near vectors meet.  K follows the number of vectors, so that a bucket h
 unrelated vectors at any size, and the number of tables follows from the chance, measured on
 simulated pairs at the threshold, that a table finds a pair.
 
-Equal vectors are one class with a weight.  Buckets are compared in pairs of blocks; a pair found
-in several buckets counts in the first of them only, which both members' bucket lists tell, so
-that links are counted without a row for each.
+Equal vectors are one class with a weight.  Buckets are compared in pairs of blocks.  A pair found in
+several buckets counts once: if it shares hot buckets (of more than HOT members), in the least of
+those, which the members' short lists of hot buckets tell; else in the first of EARLY tables where
+both have the same likeliest bucket; else as a row that is made distinct afterwards.  So the links of
+a large group are counted without a row for each, and members carry no more than their vector and a
+few codes.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ PROBES = 4
 OCCUPANCY = 8
 MISS = 1e-5
 BLOCK = 512
+HOT = 64
+EARLY = 8
 #: tables that are worth their entries; beyond, fewer hashes need fewer tables
 MOST_TABLES = 196
 #: where the tables of the trial begin, apart from those in use
@@ -153,28 +158,32 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
                     at = mine[lo : lo + 1024]
                     x = flat[(starts[at][:, None] + np.arange(d))].astype(np.float64)
                     unit = _unit(x)
-                    codes = codes_of(unit).reshape(len(at), -1)
+                    codes = codes_of(unit)
+                    early = np.ascontiguousarray(codes[:, :EARLY, 0])
+                    codes = codes.reshape(len(at), -1)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(member[at]), pa.array(_payload(x), pa.binary()), pa.array([r.tobytes() for r in codes], pa.binary()),
+                        [pa.array(member[at]), pa.array(_payload(x), pa.binary()), pa.array([r.tobytes() for r in early], pa.binary()),
                          pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * codes.shape[1]), pa.array(codes.ravel()))],
-                        names=["member", "unit", "codes", "buckets"],
+                        names=["member", "unit", "early", "buckets"],
                     )
 
-    hashed = materialize(classes.select("member", "x").mapInArrow(enter, "member bigint, unit binary, codes binary, buckets array<bigint>"), "hashed")
+    hashed = materialize(classes.select("member", "x").mapInArrow(enter, "member bigint, unit binary, early binary, buckets array<bigint>"), "hashed")
     entries = hashed.select("member", F.explode(F.array_distinct("buckets")).alias("bucket"))
-    groups = block_pairs(entries, "bucket", "member", block)
-    data = hashed.select("member", "unit", "codes").join(classes.select("member", "weight"), "member")
+    hot = entries.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("bucket")
+    lists = entries.join(hot, "bucket").groupBy("member").agg(F.collect_list("bucket").alias("hots"))
+    data = hashed.select("member", "unit", "early").join(classes.select("member", "weight"), "member").join(lists, "member", "left")
     keys = ["bucket", "lo", "hi"]
-    groups = groups.join(data, "member").select(*keys, "side", "member", "unit", "codes", "weight")
+    groups = block_pairs(entries, "bucket", "member", block, HOT).join(data, "member").select(*keys, "hot", "side", "member", "unit", "early", "hots", "weight")
     groups = groups.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches, keys):
             if table.num_rows > 1:
-                yield from _compare(table, cosine, probes)
+                yield from _compare(table, cosine)
 
     found = materialize(groups.mapInArrow(run, "u bigint, v bigint, n bigint"), "links")
-    linked = found.where("n > 0").groupBy("u").agg(F.sum("n").alias("n")).withColumnRenamed("u", "member")
+    counted = found.where("n > 0 and u = v").select("u", "n").unionByName(found.where("n > 0 and u <> v").distinct().select("u", "n"))
+    linked = counted.groupBy("u").agg(F.sum("n").alias("n")).withColumnRenamed("u", "member")
     joined = connected_components(found.where("u <> v").select("u", "v")).select(F.col("node").alias("member"), F.col("component").alias("root"))
     answer = classes.join(linked, "member", "left").join(joined, "member", "left").select(
         "x", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("root", "member").alias("root")
@@ -200,8 +209,9 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _compare(table: pa.Table, cosine: float, probes: int) -> Iterator[pa.RecordBatch]:
-    """Rows (u, v, n): n links that u gained in this group (v = u), and a spanning forest of the
+def _compare(table: pa.Table, cosine: float) -> Iterator[pa.RecordBatch]:
+    """Rows (u, v, n) of a group: links that u gained in it (v = u), links of a pair that may be
+    found elsewhere too (u linked with v, of weight n; both ways), and a spanning forest of all
     links found (n = 0)."""
     side = table["side"].to_numpy()
     bucket = table["bucket"][0].as_py()
@@ -212,7 +222,7 @@ def _compare(table: pa.Table, cosine: float, probes: int) -> Iterator[pa.RecordB
         for w in np.unique(width):
             part = table.filter(pa.array(width == w))
             if part.num_rows > 1:
-                yield from _compare(part, cosine, probes)
+                yield from _compare(part, cosine)
         return
     x = _unit(np.stack(units))
     whole = table["lo"][0].as_py() == table["hi"][0].as_py()
@@ -228,24 +238,32 @@ def _compare(table: pa.Table, cosine: float, probes: int) -> Iterator[pa.RecordB
     i, j = i[near], j[near]
     if not len(i):
         return
-    codes = np.frombuffer(b"".join(table["codes"].to_pylist()), dtype=np.int64).reshape(len(units), -1, probes)
     gained = np.zeros(len(units), dtype=np.int64)
-    for lo in range(0, len(i), 1 << 14):
-        a, b = i[lo : lo + (1 << 14)], j[lo : lo + (1 << 14)]
-        first = np.full(len(a), True)
-        open_ = np.arange(len(a))
-        here = np.full(len(a), False)
-        for t in range(codes.shape[1]):
-            same = codes[a[open_], t][:, :, None] == codes[b[open_], t][:, None, :]
-            common = np.where(same.any(axis=2), codes[a[open_], t], np.iinfo(np.int64).max).min(axis=1)
-            met = common != np.iinfo(np.int64).max
-            here[open_[met]] = common[met] == bucket
-            open_ = open_[~met]
-            if not len(open_):
-                break
-        first = here
-        np.add.at(gained, a[first], weight[b[first]])
-        np.add.at(gained, b[first], weight[a[first]])
+    hot = table["hot"][0].as_py()
+    lists = [h or () for h in table["hots"].to_pylist()]
+    names = sorted({b for own in lists for b in own if not hot or b < bucket})
+    shared = None
+    if names:  # pairs with a hot bucket in common: in a hot group, one before this
+        column = {b: k for k, b in enumerate(names)}
+        holds = np.zeros((len(units), len(names)), dtype=np.float32)
+        for row, own in enumerate(lists):
+            holds[row, [column[b] for b in own if b in column]] = 1
+        shared = holds @ holds.T > 0
+    early = np.frombuffer(b"".join(table["early"].to_pylist()), dtype=np.int64).reshape(len(units), -1)
+    loose: list[np.ndarray] = []
+    for lo in range(0, len(i), 1 << 15):
+        a, b = i[lo : lo + (1 << 15)], j[lo : lo + (1 << 15)]
+        if shared is not None:
+            open_ = ~shared[a, b]
+            a, b = a[open_], b[open_]
+        if not hot:
+            same = early[a] == early[b]
+            met = same.any(axis=1)
+            loose += [np.stack([a[~met], b[~met]])]
+            own = met & (early[a, same.argmax(axis=1)] == bucket)
+            a, b = a[own], b[own]
+        np.add.at(gained, a, weight[b])
+        np.add.at(gained, b, weight[a])
     root = np.arange(len(units))
     while True:  # least label along links
         low = root.copy()
@@ -257,7 +275,8 @@ def _compare(table: pa.Table, cosine: float, probes: int) -> Iterator[pa.RecordB
         root = low
     got = np.flatnonzero(gained)
     tied = np.flatnonzero(root != np.arange(len(units)))
-    u = np.concatenate([member[got], member[tied]])
-    v = np.concatenate([member[got], member[root[tied]]])
-    n = np.concatenate([gained[got], np.zeros(len(tied), dtype=np.int64)])
+    p, q = np.concatenate(loose, axis=1) if loose else np.zeros((2, 0), dtype=np.int64)
+    u = np.concatenate([member[got], member[p], member[q], member[tied]])
+    v = np.concatenate([member[got], member[q], member[p], member[root[tied]]])
+    n = np.concatenate([gained[got], weight[q], weight[p], np.zeros(len(tied), dtype=np.int64)])
     yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(n)], names=["u", "v", "n"])
