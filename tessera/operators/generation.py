@@ -56,7 +56,7 @@ FAMILIES = {
     "tool_calling": Family(("execute",), "mutating", "single_call"),
     "lookup_then_act": Family(("pinpoint", "execute"), "mutating", "lookup_then_act"),
     "method_discovery": Family(("methods_get", "execute"), "mutating", "discover_then_act"),
-    "answer_and_stop": Family(("search",), "any", "answer_and_stop"),
+    "answer_and_stop": Family(("answer",), "any", "answer_and_stop"),
     "workflow_execution": Family(("read", "execute"), "transition", "workflow", True),
     "agent_trajectories": Family(("search?", "create", "execute?", "read"), "creating", "multi_step"),
     "error_recovery": Family(("execute!",), "failing", "recover", True),
@@ -68,10 +68,18 @@ FAMILIES = {
     "consultant_knowledge": Family((), "any", "explain"),
     "agent_protocol": Family(("execute",), "mutating", "tool_selection"),
     "refusal_and_confirmation": Family(("read",), "destructive", "refuse_or_warn", True),
-    "record_creation": Family(("create!",), "creating", "record_creation"),
-    "record_update": Family(("write",), "creating", "record_update"),
+    "record_creation": Family(("preview",), "creating", "record_creation"),
+    "record_update": Family(("update",), "creating", "record_update"),
 }
 
+#: how a read ends that should be the last one, each as often as it stands here
+ENDINGS = ("truncated", "truncated", "empty", "sufficient")
+#: what a request may leave open
+GAPS = {
+    "which_record": "It does not say which one of several.", "amount": "It gives no figure where one is needed.", "date": "It speaks of a day without naming it.", "party": "It does not say for whom.",
+    "scope": "It does not say whether all or some are meant.", "reason": "It gives no reason where one has to be entered.", "target": "It does not say what it should become.",
+}
+
 Say = Callable[[str], Column]
 
 
@@ -79,9 +87,17 @@ def templates(stage: str) -> Column:
     """Stand-in for a text model: requests and answers from fixed forms.  Another function of the
     stage ("request", "follow_up", "answer") that gives a Column over the context may replace it."""
     if stage == "request":
-        return F.concat(F.lit("Could you "), F.col("method.intent"), F.lit(" for "), F.col("doc_ref"), F.lit(" please?"))
+        return F.when(F.col("gap").isNotNull(), F.concat(F.lit("Please "), F.col("method.intent"), F.lit(", you know the one I mean."))).otherwise(_asked())
     if stage == "follow_up":
         return F.concat(F.lit("Now "), F.col("method.intent"), F.lit(" on that one."))
+    return F.when(F.col("gap").isNotNull(), F.concat(F.lit("Before I do anything with a "), F.col("label"), F.lit(", one question about your message. "), F.col("gap"), F.lit(" Could you tell me that? Nothing has been changed so far, and nothing will be until then."))).otherwise(_told())
+
+
+def _asked() -> Column:
+    return F.concat(F.lit("Could you "), F.col("method.intent"), F.lit(" for "), F.col("doc_ref"), F.lit(" please?"))
+
+
+def _told() -> Column:
     known = F.when(F.col("failed"), F.concat(F.lit("The call on "), F.col("doc_ref"), F.lit(" was refused, and nothing was changed by it. The message of the system says why; tell me how you would like to go on from here.")))
     return known.otherwise(F.concat(F.lit("Here is where the "), F.col("label"), F.lit(" "), F.col("doc_ref"), F.lit(" stands. Everything above comes straight from the system, and no other record was touched while looking at it.")))
 
@@ -136,8 +152,31 @@ def contexts(indices: DataFrame, catalog: DataFrame, everyone: list[str], name:
     return drawn.withColumns(names | {"method": d.pick("method", F.col("eligible")), "situation": d.pick("situation", F.col("situations")), "doc_ref": reference, "res_id": d.integer("res_id", 101, 98999)}), d
 
 
-def _created(d: Draws, most: int | None = None) -> Column:
+def ending(d: Draws) -> Column:
+    return d.choice("ending", ENDINGS)
+
+
+def refused(d: Draws) -> Column:
+    """Whether an update asks for the state itself, which has to be refused."""
+    return F.col("state_field").isNotNull() & d.chance("refused", 0.4)
+
+
+def withheld(d: Draws) -> Column:
+    """The value that a creation still lacks, in half of those with several; else null."""
+    return F.when((F.size("create_fields") > 1) & d.chance("withheld", 0.5), F.element_at(F.map_keys("create_fields"), -1))
+
+
+def shape_of(name: str, d: Draws) -> Column:
+    """The stored shape of a family's sample."""
+    plain = F.lit(FAMILIES[name].shape)
+    if name == "answer_and_stop":
+        return F.concat(plain, F.lit(":"), ending(d))
+    return F.when(refused(d), "state_write_refusal").otherwise(plain) if name == "record_update" else plain
+
+
+def _created(d: Draws, most: int | None = None, but: Column | None = None) -> Column:
     entries = F.map_entries("create_fields")
+    entries = entries if but is None else F.filter(entries, lambda e: ~F.coalesce(e["key"] == but, F.lit(False)))
     entries = F.slice(entries, 1, most) if most else entries
     parts = F.transform(entries, lambda e: F.concat(json_text(e["key"]), F.lit(": "), value_of(e["value"], d, F.concat(F.lit("create/"), e["key"]))))
     return F.concat(F.lit("{"), F.array_join(parts, ", "), F.lit("}"))
@@ -158,8 +197,10 @@ def arguments(step: str, d: Draws) -> Column:
         return json_object(model=model)
     if step == "create":
         return json_object(model=model, values=_created(d))
-    if step == "write":
-        return json_object(model=model, res_ids=ids, values=_created(d, 2))
+    if step == "preview":
+        return json_object(model=model, values=_created(d, but=withheld(d)))
+    if step == "update":
+        return F.when(refused(d), arguments("read", d)).otherwise(json_object(model=model, res_ids=ids, values=_created(d, 2, F.col("state_field"))))
     fields = F.col("search_fields")
     if step == "read":
         wanted = F.array_distinct(F.array_compact(F.concat(F.slice(fields, 1, 5), F.array("state_field"))))
@@ -170,7 +211,7 @@ def arguments(step: str, d: Draws) -> Column:
     recent = F.concat(F.lit('[["date", ">=", '), json_text(d.date("since", -90, -7)), F.lit("]]"))
     opened = F.concat(F.lit('[["state", "=", '), json_text(F.coalesce(F.col("method.from_state"), F.lit("draft"))), F.lit("]]"))
     whole = F.lit(domain_text(drop_pinned([], "")))
-    if step == "search":
+    if step in ("search", "answer"):
         terms = F.when(F.array_contains(fields, "state"), opened).when(F.array_contains(fields, "date"), recent).otherwise(whole)
         return json_object(model=model, domain=terms, fields=json_text(F.slice(fields, 1, 6)), limit=d.choice("limit", ("10", "20", "25", "50")))
     sums = F.transform(F.slice(F.filter(fields, lambda f: f.isin(*MEASURABLE)), 1, 2), lambda f: F.concat(f, F.lit(":sum")))
@@ -220,14 +261,26 @@ def result(step: str, d: Draws, moved: bool) -> Column:
         return method_listing(F.col("model"), F.col("methods"))
     if step == "create":
         return json_object(id=ident, display_name=json_text(F.col("doc_ref")))
-    if step == "write":
-        return F.lit("true")
+    if step == "preview":
+        lacks = withheld(d)
+        rest = F.coalesce(F.concat(F.lit("Still needed: "), lacks, F.lit(".")), F.lit("Nothing else is needed; the rest is filled in by default."))
+        note = F.concat(F.lit("Nothing was created: this is a preview of one record of "), F.col("model"), F.lit(". "), rest)
+        missing = json_text(F.array_compact(F.array(lacks)))
+        return json_object(created=F.lit("[]"), confirmed=F.lit("false"), preview=F.concat(F.lit("["), _created(d, but=lacks), F.lit("]")), missing_required=missing, note=json_text(note))
+    if step == "update":
+        return F.when(refused(d), result("read", d, moved)).otherwise(F.lit("true"))
     if step in ("read", "pinpoint"):
         wanted = F.array_distinct(F.array_compact(F.concat(F.slice(fields, 1, 5), F.array("state_field")))) if step == "read" else F.slice(fields, 1, 6)
         return F.concat(F.lit("["), _record(d, F.lit(0), wanted, state), F.lit("]"))
-    if step == "search":
+    if step in ("search", "answer"):
         rows = F.sequence(F.lit(0), d.integer("rows", 1, 6).cast("int"))
-        return json_list(F.transform(rows, lambda i: _record(d, i, F.slice(fields, 1, 6), state)))
+        listed = F.transform(rows, lambda i: _record(d, i, F.slice(fields, 1, 6), state))
+        if step == "search":
+            return json_list(listed)
+        shown = F.slice(listed, 1, 5)
+        total = F.size(shown) + d.integer("beyond", 20, 400)
+        note = F.concat(F.lit("\nShowing "), F.size(shown).cast("string"), F.lit(" of "), total.cast("string"), F.lit(" matches; a narrower domain or an offset shows others."))
+        return F.when(ending(d) == "empty", "[]").when(ending(d) == "truncated", F.concat(json_list(shown), note)).otherwise(json_list(listed))
     sums = F.slice(F.filter(fields, lambda f: f.isin(*MEASURABLE)), 1, 2)
     states = F.array_sort(F.array_distinct(F.array_compact(F.flatten(F.transform("methods", lambda m: F.array(m["from_state"], m["to_state"]))))))
     labels = F.when(_group(d) == "state", F.when(F.size(states) > 0, states).otherwise(F.array(F.lit("draft"), F.lit("posted")))).otherwise(F.transform(F.sequence(F.lit(0), d.integer("buckets", 2, 4).cast("int")), lambda i: F.concat(_group(d), F.lit(" "), F.char(i + 65))))
@@ -240,7 +293,13 @@ def result(step: str, d: Draws, moved: bool) -> Column:
     return json_list(F.transform(labels, bucket))
 
 
-TOOLS = {"execute": "execute_method", "read": "search_read", "search": "search_read", "pinpoint": "search_read"}
+TOOLS = {"execute": "execute_method", "read": "search_read", "search": "search_read", "answer": "search_read", "pinpoint": "search_read", "preview": "create"}
+
+
+def tool_of(step: str, d: Draws, prefix: str) -> Column:
+    if step == "update":
+        return F.when(refused(d), prefix + "search_read").otherwise(prefix + "write")
+    return F.lit(prefix + TOOLS.get(step, step))
 
 
 def generate(indices: DataFrame, specs: DataFrame, personas: DataFrame, situations: DataFrame, name: str, *, seed: str = "20260317", say: Say = templates, prefix: str = "tool_", failure_rate: float = 0.22) -> DataFrame:
@@ -252,6 +311,7 @@ def generate(indices: DataFrame, specs: DataFrame, personas: DataFrame, situatio
     family = FAMILIES[name]
     everyone = [r["name"] for r in personas.select("name").distinct().orderBy("name").collect()] or ["someone"]
     rows, d = contexts(indices, pool(specs, personas, situations, family), everyone, name, seed)
+    rows = rows.withColumn("gap", d.choice("gap", tuple(GAPS.values())) if name == "clarification_dialogues" else F.lit(None).cast("string"))
     fails = d.chance("fails", failure_rate)
     failed, parts, nth, moved = F.lit(False), [], 0, False
 
@@ -266,14 +326,15 @@ def generate(indices: DataFrame, specs: DataFrame, personas: DataFrame, situatio
             continue
         here = F.lit(mark == "!") if step != "execute" or mark != "?" else fails
         call_id = F.concat(F.lit("c"), F.col("index").cast("string"), F.lit(f"_{nth}"))
-        call = F.struct(call_id.alias("id"), F.lit("function").alias("type"), F.struct(F.lit(prefix + TOOLS.get(step, step)).alias("name"), arguments(step, d).alias("arguments")).alias("function"))
-        asked = message("assistant", F.concat(F.lit("Calling "), F.lit(prefix + TOOLS.get(step, step)), F.lit(" on "), F.col("model"), F.lit(".")), F.array(call))
+        tool = tool_of(step, d, prefix)
+        call = F.struct(call_id.alias("id"), F.lit("function").alias("type"), F.struct(tool.alias("name"), arguments(step, d).alias("arguments")).alias("function"))
+        asked = message("assistant", F.concat(F.lit("Calling "), tool, F.lit(" on "), F.col("model"), F.lit(".")), F.array(call))
         answered = message("tool", F.when(here, failure(d)).otherwise(result(step, d, moved)), None, call_id)
         run = ~failed & (d.chance("optional", 0.7) if step == "search" and mark == "?" else F.lit(True))
         parts.append(F.when(run, F.array(asked, answered)).otherwise(F.array().cast("array<" + MESSAGE.simpleString() + ">")))
         failed, nth, moved = failed | here, nth + 1, moved or step == "execute"
     rows = rows.withColumn("failed", failed)
     parts.append(F.array(message("assistant", say("answer"))))
-    key = sample_key(F.lit(VERSION), F.lit(name), F.col("index").cast("string"), F.col("model"), F.col("method.name"), F.lit(family.shape))
-    meta = F.struct(key.alias("key"), F.lit(name).alias("family"), F.lit(family.shape).alias("shape"), F.col("model").alias("model"), F.col("method.name").alias("method"), F.col("domain").alias("domain"), F.col("person").alias("persona"), F.col("index").alias("index"), F.lit(VERSION).alias("generator_version"), F.lit("templates").alias("teacher"))
+    key = sample_key(F.lit(VERSION), F.lit(name), F.col("index").cast("string"), F.col("model"), F.col("method.name"), shape_of(name, d))
+    meta = F.struct(key.alias("key"), F.lit(name).alias("family"), shape_of(name, d).alias("shape"), F.col("model").alias("model"), F.col("method.name").alias("method"), F.col("domain").alias("domain"), F.col("person").alias("persona"), F.col("index").alias("index"), F.lit(VERSION).alias("generator_version"), F.lit("templates").alias("teacher"))
     return rows.select(F.concat(*parts).alias("messages"), meta.alias("_meta"))

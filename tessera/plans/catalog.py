@@ -484,7 +484,7 @@ def intents(spark, d):
     return table(spark, d, "orders").select("o_orderkey", relations.intent_of(name, F.col("o_orderstatus")).alias("intent"))
 
 
-@query("prj13_questions", "select s_suppkey, case when s_suppkey % 2 = 0 then 'How does ' || s_name || ' link to ' || n_name || '?' else 'Which field joins a supplier to ' || n_name || '?' end as question from supplier join nation on s_nationkey = n_nationkey")
+@query("prj13_questions", "select s_suppkey, case s_suppkey % 4 when 0 then 'How do I get from ' || s_name || ' to ' || n_name || '?' when 1 then 'Through which column does a supplier point to ' || n_name || '?' when 2 then 'I hold a supplier and want its ' || n_name || '. Which column leads there?' else 'Describe the link between ' || s_name || ' and ' || n_name || '.' end as question from supplier join nation on s_nationkey = n_nationkey")
 def questions(spark, d):
     rows = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     return rows.select("s_suppkey", facts.question(F.lit("relation"), F.col("s_suppkey"), model=F.col("s_name"), label=F.lit("supplier"), target=F.col("n_name")).alias("question"))

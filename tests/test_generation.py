@@ -48,7 +48,7 @@ def test_family(spark, catalog, name):
         for m in r["messages"]:
             assert m["content"] is not None
             if m["role"] == "tool":
-                json.loads(m["content"])
+                json.loads(m["content"].split("\nShowing ")[0])
             for c in m["tool_calls"] or []:
                 assert json.loads(c["function"]["arguments"])["model"] == r["_meta"]["model"]
     checked = out.select(F.col("_meta.key").alias("id"), "messages", gate.malformed(F.col("messages")).alias("bad"), call_checks.transcript_reasons(F.col("messages")).alias("why"))
@@ -114,3 +114,28 @@ def test_facts(spark, catalog):
     told = facts.as_samples(facts.plan(found, "s"))
     assert told.schema.simpleString() == SAMPLE.simpleString()
     assert told.select("_meta.key").distinct().count() == 40 and told.where(gate.malformed(F.col("messages"))).count() == 0
+
+
+def test_endings_previews_and_refusals(spark, catalog):
+    by = lambda name: [r.asDict(True) for r in generation.generate(indices(spark, 200), *catalog, name).collect()]
+    shapes = {}
+    for r in by("answer_and_stop"):
+        shape = r["_meta"]["shape"].split(":")[1]
+        content = next(m["content"] for m in r["messages"] if m["role"] == "tool")
+        assert (content == "[]") == (shape == "empty") and ("\nShowing " in content) == (shape == "truncated")
+        shapes[shape] = shapes.get(shape, 0) + 1
+    assert shapes["truncated"] > 70 and min(shapes.values()) > 25
+    lacking = 0
+    for r in by("record_creation"):
+        preview = json.loads(next(m["content"] for m in r["messages"] if m["role"] == "tool"))
+        values = json.loads(next(m for m in r["messages"] if m["tool_calls"])["tool_calls"][0]["function"]["arguments"])["values"]
+        assert preview["created"] == [] and preview["preview"] == [values] and not set(preview["missing_required"]) & set(values)
+        lacking += bool(preview["missing_required"])
+    assert 60 < lacking < 140
+    refusals = 0
+    for r in by("record_update"):
+        name = next(m for m in r["messages"] if m["tool_calls"])["tool_calls"][0]["function"]["name"]
+        assert (name == "tool_search_read") == (r["_meta"]["shape"] == "state_write_refusal")
+        refusals += name == "tool_search_read"
+    assert 50 < refusals < 110
+    assert all(any(g in r["messages"][-1]["content"] for g in generation.GAPS.values()) for r in by("clarification_dialogues"))
