@@ -35,6 +35,35 @@ def grouped(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
+def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of whole groups of a sorted partition, many at a time: a batch and what the one before
+    it left of its last group."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for k in keys:
+            col = batch.column(k).to_numpy(zero_copy_only=False)
+            new[1:] |= col[1:] != col[:-1]
+        end = tuple(batch.column(k)[batch.num_rows - 1].as_py() for k in keys)
+        first = tuple(batch.column(k)[0].as_py() for k in keys)
+        cuts = np.flatnonzero(new)
+        if held and first != last:
+            yield pa.Table.from_batches(held)
+            held = []
+        if len(cuts):
+            at = int(cuts[-1])
+            yield pa.Table.from_batches([*held, batch.slice(0, at)])
+            held = []
+            batch = batch.slice(at)
+        held.append(batch)
+        last = end
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def emit(rows: Iterable[tuple], schema: pa.Schema, size: int = 8192) -> Iterator[pa.RecordBatch]:
     """Rows as record batches of at most `size`."""
     block: list[tuple] = []

@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from .buckets import block_pairs
 from .components import connected_components
 from .store import materialize, release
-from .streams import grouped
+from .streams import grouped, whole_groups
+from .workers import lean, vacate
 
 PROBES = 4
 OCCUPANCY = 8
@@ -147,7 +148,8 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
         return bucket_codes(x, tables, h, probes)
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        vacate()
+        for batch in lean(batches):
             member = batch.column(0).to_numpy()
             lengths = pa.compute.list_value_length(batch.column(1)).to_numpy()
             flat = batch.column(1).flatten().to_numpy()
@@ -177,9 +179,14 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     groups = groups.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in grouped(batches, keys):
-            if table.num_rows > 1:
-                yield from _compare(table, cosine)
+        vacate()
+        for table in whole_groups(lean(batches), keys):
+            table = table.combine_chunks()
+            small = pa.compute.and_(pa.compute.invert(table["hot"]), pa.compute.equal(table["lo"], table["hi"]))
+            yield from _compare_small(table.filter(small), cosine)
+            for group in grouped(table.filter(pa.compute.invert(small)).to_batches(), keys):
+                if group.num_rows > 1:
+                    yield from _compare(group, cosine)
 
     found = materialize(groups.mapInArrow(run, "u bigint, v bigint, n bigint"), "links")
     counted = found.where("n > 0 and u = v").select("u", "n").unionByName(found.where("n > 0 and u <> v").distinct().select("u", "n"))
@@ -209,6 +216,92 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _matrix(payloads: list[bytes]) -> np.ndarray:
+    """Payloads of one length as rows of doubles."""
+    raw = np.frombuffer(b"".join(payloads), dtype=np.uint8).reshape(len(payloads), -1)
+    kind = np.float32 if payloads[0][:1] == b"4" else np.float64
+    return np.ascontiguousarray(raw[:, 1:]).view(kind).astype(np.float64)
+
+
+def _pairs(sizes: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows within groups of consecutive rows, groups of one size at a time."""
+    for m in np.unique(sizes[sizes > 1]).tolist():
+        a, b = np.triu_indices(m, 1)
+        own = starts[sizes == m]
+        step = max(1, (1 << 15) // len(a))
+        for lo in range(0, len(own), step):
+            at = own[lo : lo + step, None]
+            yield (at + a).ravel(), (at + b).ravel()
+
+
+def _forest(rows: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least row that each row reaches along links."""
+    root = np.arange(rows)
+    while True:
+        low = root.copy()
+        np.minimum.at(low, i, root[j])
+        np.minimum.at(low, j, root[i])
+        low = np.minimum(low, low[low])
+        if (low == root).all():
+            return root
+        root = low
+
+
+def _compare_small(table: pa.Table, cosine: float) -> Iterator[pa.RecordBatch]:
+    """What `_compare` gives, for many groups of one block each that are not hot."""
+    payloads = table["unit"].to_pylist()
+    kinds = np.array([(len(p) - 1) // (4 if p[:1] == b"4" else 8) for p in payloads], dtype=np.int64)
+    for d in np.unique(kinds).tolist():
+        mine = np.flatnonzero(kinds == d)
+        own = table if len(mine) == len(payloads) else table.take(pa.array(mine))
+        bucket, block = own["bucket"].to_numpy(), own["lo"].to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])]))
+        sizes = np.diff(np.concatenate([starts, [len(bucket)]]))
+        if not (sizes > 1).any():
+            continue
+        x = np.empty((len(mine), d))
+        here = [payloads[k] for k in mine.tolist()]
+        narrow = np.array([p[:1] == b"4" for p in here])
+        for kind in (True, False):
+            rows = np.flatnonzero(narrow == kind)
+            if len(rows):
+                x[rows] = _matrix([here[k] for k in rows.tolist()])
+        x = _unit(x)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for a, b in _pairs(sizes, starts):
+            near = np.einsum("ij,ij->i", x[a], x[b]) >= cosine
+            found.append((a[near], b[near]))
+        i, j = (np.concatenate(f) for f in zip(*found))
+        if not len(i):
+            continue
+        member, weight = own["member"].to_numpy(), own["weight"].to_numpy()
+        hots = [frozenset(h) if h else None for h in own["hots"].to_pylist()]
+        listed = np.array([h is not None for h in hots])
+        root = _forest(len(member), i, j)
+        a, b = i, j
+        both = np.flatnonzero(listed[a] & listed[b])
+        if len(both):  # pairs that meet in a hot bucket are counted there
+            open_ = np.ones(len(a), dtype=bool)
+            open_[both] = [hots[p].isdisjoint(hots[q]) for p, q in zip(a[both].tolist(), b[both].tolist())]
+            a, b = a[open_], b[open_]
+        early = np.frombuffer(b"".join(own["early"].to_pylist()), dtype=np.int64).reshape(len(member), -1)
+        same = early[a] == early[b]
+        met = same.any(axis=1)
+        counted = met & (early[a, same.argmax(axis=1)] == bucket[a])
+        gained = np.zeros(len(member), dtype=np.int64)
+        np.add.at(gained, a[counted], weight[b[counted]])
+        np.add.at(gained, b[counted], weight[a[counted]])
+        yield _rows(member, weight, gained, a[~met], b[~met], root)
+
+
+def _rows(member: np.ndarray, weight: np.ndarray, gained: np.ndarray, p: np.ndarray, q: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
+    got, tied = np.flatnonzero(gained), np.flatnonzero(root != np.arange(len(root)))
+    u = np.concatenate([member[got], member[p], member[q], member[tied]])
+    v = np.concatenate([member[got], member[q], member[p], member[root[tied]]])
+    n = np.concatenate([gained[got], weight[q], weight[p], np.zeros(len(tied), dtype=np.int64)])
+    return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(n)], names=["u", "v", "n"])
+
+
 def _compare(table: pa.Table, cosine: float) -> Iterator[pa.RecordBatch]:
     """Rows (u, v, n) of a group: links that u gained in it (v = u), links of a pair that may be
     found elsewhere too (u linked with v, of weight n; both ways), and a spanning forest of all
@@ -264,19 +357,5 @@ def _compare(table: pa.Table, cosine: float) -> Iterator[pa.RecordBatch]:
             a, b = a[own], b[own]
         np.add.at(gained, a, weight[b])
         np.add.at(gained, b, weight[a])
-    root = np.arange(len(units))
-    while True:  # least label along links
-        low = root.copy()
-        np.minimum.at(low, i, root[j])
-        np.minimum.at(low, j, root[i])
-        low = np.minimum(low, low[low])
-        if (low == root).all():
-            break
-        root = low
-    got = np.flatnonzero(gained)
-    tied = np.flatnonzero(root != np.arange(len(units)))
     p, q = np.concatenate(loose, axis=1) if loose else np.zeros((2, 0), dtype=np.int64)
-    u = np.concatenate([member[got], member[p], member[q], member[tied]])
-    v = np.concatenate([member[got], member[q], member[p], member[root[tied]]])
-    n = np.concatenate([gained[got], weight[q], weight[p], np.zeros(len(tied), dtype=np.int64)])
-    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(n)], names=["u", "v", "n"])
+    yield _rows(member, weight, gained, p, q, _forest(len(units), i, j))

@@ -161,6 +161,19 @@ def test_vector_recall(hashes):
     assert (~met).sum() <= 1
 
 
+def test_vector_groups_of_all_sizes(spark):
+    """Groups of 2 to 150 near vectors, in blocks of 16: links and components by brute force."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.standard_normal((1, 24)) + 0.16 * rng.standard_normal((m, 24)) for m in (2, 3, 9, 30, 45, 60, 70, 150)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    comp = brute.components(range(len(x)), [(int(a), int(b)) for a, b in zip(*np.nonzero(near))])
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(df, block=16).collect()}
+    assert got == {i: (int(near[i].sum()), comp[i]) for i in range(len(x))}
+
+
 def test_register_recall_and_union():
     """Pairs of sets of similarity 0.85 share a band; registers of a union are merged registers."""
     rng = np.random.default_rng(5)
