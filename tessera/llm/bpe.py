@@ -12,6 +12,7 @@ open a contraction anew); elsewhere the fragment stays longer, which changes not
 
 from __future__ import annotations
 
+import array
 import hashlib
 import json
 import re
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from .streams import text_slices
 from .workers import Memo, lean, resident
 
-MEMO = 32 << 20
+MEMO = 48 << 20
 MEMO_BYTES = 256
 FRAGMENTS_AT_ONCE = 400_000
 _CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -72,6 +73,8 @@ class ForcedBoundaryBPE:
         alphabet = byte_alphabet()
         added = {t["content"] for t in tokens}
         self.added = re.compile("|".join(map(re.escape, sorted(added))) if added else r"(?!)").search
+        leads = {t[:1] for t in added}
+        self.lead = leads.pop() if len(leads) == 1 else None  # how every added token begins
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.table: list[bytes] = [b""] * (max(vocab.values(), default=-1) + 1)
         for token, i in vocab.items():
@@ -106,15 +109,15 @@ class ForcedBoundaryBPE:
         return at
 
     def _ids(self, fragments: list[bytes]) -> list[bytes]:
-        memo = self.memo
-        new = [f for f in set(fragments) if f not in memo]
+        memo, known = self.memo, self.memo.known
+        new = set(fragments).difference(known)
         long: dict[bytes, bytes] = {}
         rest = []
-        tokenize = self.tokenizer.model.tokenize
+        tokenize, lead = self.tokenizer.model.tokenize, self.lead
         for f in new:
             text = f.decode()
-            if len(f) <= MEMO_BYTES and _ONE_PRETOKEN(text) and not self.added(text):  # one word of the pattern: straight to the merges
-                memo.put(f, np.array([t.id for t in tokenize(stand_in(text))], dtype=np.int32).tobytes())
+            if len(f) <= MEMO_BYTES and _ONE_PRETOKEN(text) and not ((lead is None or lead in text) and self.added(text)):  # one word of the pattern: straight to the merges
+                memo.put(f, array.array("i", [t.id for t in tokenize(stand_in(text))]).tobytes())
             else:
                 rest.append(f)
         for lo in range(0, len(rest), 4_000):
@@ -125,7 +128,7 @@ class ForcedBoundaryBPE:
                     memo.put(f, ids)
                 else:
                     long[f] = ids
-        out = [memo[f] for f in fragments] if not long else [long[f] if f in long else memo[f] for f in fragments]
+        out = [known[f] for f in fragments] if not long else [long[f] if f in long else known[f] for f in fragments]
         memo.bound()
         return out
 

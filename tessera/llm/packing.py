@@ -14,8 +14,10 @@ patterns at any input size.
 
 from __future__ import annotations
 
+import array
 import bisect
 import hashlib
+import itertools
 import json
 import re
 import zlib
@@ -34,7 +36,7 @@ from .streams import text_slices
 from .workers import Memo, lean, resident
 
 CAPACITY = 2048
-MEMO = 24 << 20
+MEMO, PIECE_MEMO = 64 << 20, 32 << 20
 MEMO_BYTES = 128
 
 
@@ -158,23 +160,31 @@ class WordTokenizer:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.memo = Memo(MEMO)
-        self.pieces = Memo(MEMO)
+        self.pieces = Memo(PIECE_MEMO)
         layout = json.loads(spec)
         added = layout.get("added_tokens") or []
         odd = any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") or len(t["content"].split()) != 1 for t in added)
         self.plain = all(layout.get(k) == v for k, v in _KNOWN_LAYOUT.items()) and not odd
         self.added = re.compile("|".join(sorted(re.escape(t["content"]) for t in added)) or r"(?!)").search
-
-    def _plain_word(self, word: str) -> bytes:
-        out = []
-        for piece in _PIECES(word.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = np.array([t.id for t in self.tokenizer.model.tokenize(stand_in(piece))], dtype="<u4").tobytes()
-                if len(piece) <= MEMO_BYTES:
-                    self.pieces.put(piece, ids)
-            out.append(ids)
-        return b"".join(out)
+        leads = {t["content"][:1] for t in added}
+        self.lead = leads.pop() if len(leads) == 1 else None  # how every added token begins
+
+    def _plain_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that the pieces' pattern covers."""
+        known, tokenize, out = self.pieces.known, self.tokenizer.model.tokenize, []
+        for word in words:
+            parts = []
+            for piece in _PIECES(word.lower()):
+                ids = known.get(piece)
+                if ids is None:
+                    spelled = piece if piece.isascii() else stand_in(piece)  # printable ASCII stands for itself
+                    ids = array.array("I", [t.id for t in tokenize(spelled)]).tobytes()
+                    if len(piece) <= MEMO_BYTES:
+                        self.pieces.put(piece, ids)
+                parts.append(ids)
+            out.append(parts[0] if len(parts) == 1 else b"".join(parts))
+        self.pieces.bound()
+        return out
 
     def _whole(self, texts: list[bytes]) -> list[bytes]:
         """By the tokenizer's whole path, some at a time."""
@@ -188,28 +198,30 @@ class WordTokenizer:
         if not self.plain:
             return self._whole(texts)
         words = [t.split() for t in texts]
-        memo = self.memo
-        new = list({w for ws in words for w in ws}.difference(memo))
+        memo, known = self.memo, self.memo.known
+        new = list(set(itertools.chain.from_iterable(words)).difference(known))
         long: dict[bytes, bytes] = {}
-        rest = []
-        for w in new:
-            text = w.decode()
-            if not (_PLAIN(text) and not self.added(text)):
-                rest.append(w)
-            elif len(w) <= MEMO_BYTES:
-                memo.put(w, self._plain_word(text))
-            else:
-                long[w] = self._plain_word(text)
-        self.pieces.bound()
-        for w, ids in zip(rest, self._whole(rest)):
-            if len(w) <= MEMO_BYTES:
-                memo.put(w, ids)
+        plain, spelled, rest = [], [], []
+        added, lead = self.added, self.lead
+        for w, text in zip(new, b"\n".join(new).decode().split("\n")):
+            if _PLAIN(text) and not ((lead is None or lead in text) and added(text)):
+                plain.append(w)
+                spelled.append(text)
             else:
-                long[w] = ids
+                rest.append(w)
+        for own, ids in ((plain, self._plain_words(spelled)), (rest, self._whole(rest))):
+            if max(map(len, own), default=0) <= MEMO_BYTES:
+                memo.put_all(own, ids)
+                continue
+            for w, x in zip(own, ids):
+                if len(w) <= MEMO_BYTES:
+                    memo.put(w, x)
+                else:
+                    long[w] = x
         if long:
-            out = [b"".join([long[w] if w in long else memo[w] for w in ws]) for ws in words]
+            out = [b"".join([long[w] if w in long else known[w] for w in ws]) for ws in words]
         else:
-            out = [b"".join(map(memo.__getitem__, ws)) for ws in words]
+            out = [b"".join(map(known.__getitem__, ws)) for ws in words]
         memo.bound()
         return out
 

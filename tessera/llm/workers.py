@@ -49,19 +49,24 @@ def lean(batches: Iterable[T]) -> Iterator[T]:
         relieve()
 
 
-class Memo(dict):
-    """A dict of bytes to bytes that is emptied when its contents outgrow a number of bytes."""
+class Memo:
+    """A dict (`known`) of texts to bytes that is emptied when it outgrows a number of bytes."""
 
     ENTRY = 170  # a pair's own size besides its bytes
 
     def __init__(self, most_bytes: int):
+        self.known: dict = {}
         self.most, self.size = most_bytes, 0
 
     def put(self, key, value: bytes) -> None:
-        self[key] = value
+        self.known[key] = value
         self.size += self.ENTRY + len(key) + len(value)
 
+    def put_all(self, keys: list, values: list[bytes]) -> None:
+        self.known.update(zip(keys, values))
+        self.size += self.ENTRY * len(keys) + sum(map(len, keys)) + sum(map(len, values))
+
     def bound(self) -> None:
         if self.size > self.most:
-            self.clear()
+            self.known.clear()
             self.size = 0
