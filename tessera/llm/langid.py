@@ -155,7 +155,7 @@ def identify(spark: SparkSession, model: LanguageModel):
                 [pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=["lang_pred", "score"]
             )
 
-    return predict
+    return predict.asNondeterministic()  # so that a filter on its result does not predict twice
 
 
 def held_out(doc_id: Column | str, folds: int = 3, fold: int = 1) -> Column:
