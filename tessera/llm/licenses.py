@@ -5,9 +5,10 @@ comment marks are gone; lines are joined where they hold word pairs of a templat
 too.  The model is a multinomial logistic regression over binary word uni- and bigrams, fitted on the driver to a bounded set of labelled paragraphs: notice templates
 of each family, varied by dropped words and surrounding text, against sentences that use the same
 words otherwise.  Features hold an anchor word, so a paragraph without one scores as the bias
-alone, which is the unknown class.  The threshold below which a paragraph is unknown is calibrated
-on held-out variants.  A family's predictions are confirmed by comparison with its templates, and
-of overlapping notices the one that is most like a template stays.
+alone, which is the unknown class.  Temperature and the threshold below which a paragraph is unknown
+are calibrated on templates and counter-examples that the fit has not seen, each scored by a model of
+the other folds.  A family's predictions are confirmed by comparison with its templates, and of
+overlapping notices the one that is most like a template stays.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import functools
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,9 +29,13 @@ from .store import materialize
 UNKNOWN = "unknown"
 #: bound of the labelled set: variants a template
 VARIANTS = 40
-MAX_FEATURES = 4096
+#: parts of the templates and counter-examples, each calibrated on by a model of the others
+FOLDS = 4
+#: share of unseen counter-examples that may pass as a family
 FALSE_ALARMS = 0.01
 SIMILARITY = 0.6
+STEPS = 250
+TEMPERATURES = (0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 #: Notices of public licences: fixed wordings.
 TEMPLATES = {
     "mit": (
@@ -37,67 +43,91 @@ TEMPLATES = {
         "Licensed under the MIT License. See LICENSE for details.",
         "SPDX-License-Identifier: MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "Distributed under the MIT license.",
+        "Available under the terms of the MIT licence.",
     ),
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "SPDX-License-Identifier: Apache-2.0",
         "Released under the Apache License 2.0.",
+        "Distributed under the Apache License 2.0.",
+        "Available under the terms of the Apache 2.0 licence.",
     ),
     "gpl-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
         "SPDX-License-Identifier: GPL-3.0-or-later",
         "Released under the GNU GPL version 3.",
+        "Distributed under the GPL version 3.",
+        "Available under the terms of the GPL-3.0 licence.",
     ),
     "gpl-2.0": (
         "This work is licensed under the GNU General Public License, version 2.",
         "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
         "SPDX-License-Identifier: GPL-2.0-only",
         "Released under the GNU GPL version 2.",
+        "Distributed under the GPL version 2.",
+        "Available under the terms of the GPL-2.0 licence.",
     ),
     "lgpl": (
         "Licensed under the GNU Lesser General Public License.",
         "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
         "SPDX-License-Identifier: LGPL-3.0-only",
         "Released under the GNU LGPL version 3.",
+        "Distributed under the LGPL version 3.",
+        "Available under the terms of the LGPL version 2.1.",
     ),
     "bsd": (
         "Released under the BSD License.",
         "Licensed under the BSD 3-Clause License.",
         "SPDX-License-Identifier: BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Distributed under the BSD license.",
+        "Available under the terms of the BSD 2-Clause licence.",
     ),
     "mpl-2.0": (
         "Licensed under the Mozilla Public License, version 2.0.",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
         "Released under the MPL version 2.0.",
+        "Distributed under the Mozilla Public License 2.0.",
+        "Available under the terms of the MPL 2.0.",
     ),
     "cc-by": (
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "SPDX-License-Identifier: CC-BY-4.0",
+        "Distributed under CC BY 4.0.",
+        "Available under the Creative Commons Attribution 4.0 licence.",
     ),
     "cc-by-sa": (
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
         "SPDX-License-Identifier: CC-BY-SA-4.0",
+        "Distributed under CC BY-SA 4.0.",
+        "Available under the Creative Commons Attribution-ShareAlike 4.0 licence.",
     ),
     "cc-by-nc": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "SPDX-License-Identifier: CC-BY-NC-4.0",
+        "Distributed under CC BY-NC 4.0.",
+        "Available under the Creative Commons Attribution-NonCommercial 4.0 licence.",
     ),
     "cc0": (
         "Dedicated to the public domain under CC0 1.0.",
         "To the extent possible under law, the author has waived all copyright under a CC0 1.0 Universal public domain dedication.",
         "SPDX-License-Identifier: CC0-1.0",
+        "Distributed under CC0 1.0.",
+        "Available under the CC0 1.0 Universal licence.",
     ),
     "proprietary": (
         "All rights reserved.",
         "Copyright 2024 the authors. All rights reserved.",
         "This software is proprietary and confidential. Unauthorized copying is prohibited.",
+        "Proprietary and confidential. Do not distribute.",
+        "Copyright the authors, all rights reserved; use without permission is prohibited.",
     ),
 }
 #: Sentences that use licence words for other things.
@@ -122,6 +152,16 @@ NEGATIVES = (
     "The domain of the function is public in the interface.",
     "He asked about the terms of the foundation and its conditions.",
     "Use of the lift is permitted under supervision only.",
+    "Please keep your license with you in the car.",
+    "The software runs on every computer in the office.",
+    "This version of the song is slower than the first.",
+    "Version 3 of the timetable starts on Monday.",
+    "A licence to sell wine is needed in most towns.",
+    "The shop is licensed for music and dancing.",
+    "Read the license terms before you install the software.",
+    "The software version is shown under help.",
+    "The foundation published its yearly report.",
+    "A new license key for the software costs ten dollars.",
 )
 ANCHORS = (
     "license", "licensed", "licence", "licenced", "licensing", "spdx-license-identifier", "mit", "apache", "apache-2.0", "gnu", "gpl", "lgpl", "bsd", "mozilla", "mpl",
@@ -190,55 +230,64 @@ def _variants(rng: random.Random, text: str, count: int) -> list[str]:
     return out
 
 
-@functools.lru_cache(maxsize=2)
-def fit(variants: int = VARIANTS, seed: int = 5) -> LicenceModel:
-    """The model: a bounded set of labelled paragraphs, full-batch gradient descent, temperature
-    and threshold from the fifth of the variants that the fit did not see."""
-    rng = random.Random(seed)
-    rows = [(v, family) for family, texts in TEMPLATES.items() for t in texts for v in _variants(rng, t, variants)]
-    rows += [(v, UNKNOWN) for t in NEGATIVES for v in _variants(rng, t, variants)] + [("", UNKNOWN)] * variants
-    rng.shuffle(rows)
-    cut = len(rows) // 5
-    test, train = rows[:cut], rows[cut:] + [(t, family) for family, texts in TEMPLATES.items() for t in texts]
-    families = [*sorted(TEMPLATES), UNKNOWN]
-    count: dict[str, int] = {}
-    for text, _ in train:
-        for f in features_of(text):
-            count[f] = count.get(f, 0) + 1
-    features = sorted(sorted((f for f, c in count.items() if c >= 3), key=lambda f: (-count[f], f))[:MAX_FEATURES])
+def _indicators(rows: list[set[str]], features: list[str]) -> np.ndarray:
     at = {f: i for i, f in enumerate(features)}
-
-    def table(rows: list) -> tuple[np.ndarray, np.ndarray]:
-        x, y = np.zeros((len(rows), len(features))), np.zeros(len(rows), dtype=int)
-        for i, (text, family) in enumerate(rows):
-            x[i, [at[f] for f in features_of(text) if f in at]] = 1
-            y[i] = families.index(family)
-        return x, y
-
-    x, y = table(train)
-    w, b = np.zeros((len(features), len(families))), np.zeros(len(families))
-    truth = np.eye(len(families))[y]
-    for _ in range(150):
+    x = np.zeros((len(rows), len(features)))
+    for i, own in enumerate(rows):
+        x[i, [at[f] for f in own if f in at]] = 1
+    return x
+
+
+def _descend(rows: list[set[str]], y: np.ndarray, classes: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Features of at least three rows, weights and bias, by full-batch gradient descent with momentum."""
+    count = Counter(f for own in rows for f in own)
+    features = sorted(f for f, c in count.items() if c >= 3)
+    x, truth = _indicators(rows, features), np.eye(classes)[y]
+    w, b = np.zeros((len(features), classes)), np.zeros(classes)
+    pace_w, pace_b = np.zeros_like(w), np.zeros_like(b)
+    share = (1 / (classes * truth.sum(axis=0)))[y][:, None]  # classes count alike, however many their rows
+    for _ in range(STEPS):
         z = x @ w + b
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        g = (p - truth) / len(x)
-        w -= 4.0 * (x.T @ g + 1e-5 * w)
-        b -= 4.0 * g.sum(axis=0)
-    xt, yt = table(test)
-    z = xt @ w + b
+        g = (p - truth) * share
+        pace_w, pace_b = 0.9 * pace_w + x.T @ g + 1e-5 * w, 0.9 * pace_b + g.sum(axis=0)
+        w -= 2.0 * pace_w
+        b -= 2.0 * pace_b
+    return features, w, b
+
+
+@functools.lru_cache(maxsize=2)
+def fit(variants: int = VARIANTS, seed: int = 5) -> LicenceModel:
+    """The model of a bounded set of labelled paragraphs, and temperature and threshold from the
+    templates and counter-examples of each fold, scored by a model of the other folds."""
+    rng = random.Random(seed)
+    families = [*sorted(TEMPLATES), UNKNOWN]
+    rows = [(v, family, i % FOLDS) for family, texts in sorted(TEMPLATES.items()) for i, t in enumerate(texts) for v in _variants(rng, t, variants)]
+    rows += [(v, UNKNOWN, i % FOLDS) for i, t in enumerate(NEGATIVES) for v in _variants(rng, t, variants)] + [("", UNKNOWN, -1)] * variants
+    own = [features_of(text) for text, _, _ in rows]
+    fold = np.array([f for _, _, f in rows])
+    truth = np.array([families.index(family) for _, family, _ in rows])
+    scores = np.zeros((len(rows), len(families)))
+    for k in range(FOLDS):
+        inside = [i for i in range(len(rows)) if fold[i] != k]
+        features, w, b = _descend([own[i] for i in inside], truth[inside], len(families))
+        outside = np.flatnonzero(fold == k)
+        scores[outside] = _indicators([own[i] for i in outside], features) @ w + b
+    unseen = fold >= 0
+    scores, y = scores[unseen], truth[unseen]
 
     def probabilities(t: float) -> np.ndarray:
-        p = np.exp((z - z.max(axis=1, keepdims=True)) / t)
+        p = np.exp((scores - scores.max(axis=1, keepdims=True)) / t)
         return p / p.sum(axis=1, keepdims=True)
 
-    loss = lambda t: -np.log(np.maximum(probabilities(t)[np.arange(len(yt)), yt], 1e-12)).mean()
-    temperature = min((0.5, 0.7, 1.0, 1.4, 2.0), key=loss)
+    temperature = min(TEMPERATURES, key=lambda t: -np.log(np.maximum(probabilities(t)[np.arange(len(y)), y], 1e-12)).mean())
     p = probabilities(temperature)
     unknown = families.index(UNKNOWN)
-    alarms = np.sort(np.where(p.argmax(axis=1) != unknown, p.max(axis=1), 0)[yt == unknown])
-    threshold = max(0.5, float(alarms[max(0, math.ceil(len(alarms) * (1 - FALSE_ALARMS)) - 1)]) + 1e-9) if len(alarms) else 0.5
-    return LicenceModel(families, features, np.round(w, 6), np.round(b, 6), temperature, min(threshold, 0.95))
+    alarms = np.sort(np.where(p.argmax(axis=1) != unknown, p.max(axis=1), 0)[y == unknown])
+    threshold = float(alarms[max(0, math.ceil(len(alarms) * (1 - FALSE_ALARMS)) - 1)]) + 1e-9
+    features, w, b = _descend(own, truth, len(families))
+    return LicenceModel(families, features, np.round(w, 6), np.round(b, 6), temperature, threshold)
 
 
 def _quoted(text: str) -> str:
@@ -246,7 +295,7 @@ def _quoted(text: str) -> str:
 
 
 def _weights(spark: SparkSession, model: LicenceModel) -> DataFrame:
-    """(gram, w) as an inline table of at most MAX_FEATURES rows."""
+    """(gram, w) as an inline table, as large as the bounded labelled set makes it."""
     rows = ",".join(f"({_quoted(f)},array({','.join(f'{v:.6f}D' for v in w)}))" for f, w in zip(model.features, model.weights))
     return spark.sql(f"select * from values {rows} as t(gram, w)")
 
