@@ -16,7 +16,7 @@ import array
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,9 +55,11 @@ def stand_in(piece: str) -> str:
 
 
 class ForcedBoundaryBPE:
-    """Encoder and decoder of one tokenizer file (its JSON text)."""
+    """Encoder and decoder of one tokenizer file (its JSON text).
 
-    def __init__(self, spec: str):
+    ordinary: special tokens written out in a text are ordinary text, never their ids."""
+
+    def __init__(self, spec: str, ordinary: bool = False):
         from tokenizers import Tokenizer
 
         layout = json.loads(spec)
@@ -72,8 +74,10 @@ class ForcedBoundaryBPE:
         self.tokenizer.no_padding()
         alphabet = byte_alphabet()
         added = {t["content"] for t in tokens}
-        self.added = re.compile("|".join(map(re.escape, sorted(added))) if added else r"(?!)").search
-        leads = {t[:1] for t in added}
+        self.tokenizer.encode_special_tokens = ordinary
+        found = {t["content"] for t in tokens if not (ordinary and t.get("special"))}  # those that texts may hold
+        self.added = re.compile("|".join(map(re.escape, sorted(found))) if found else r"(?!)").search
+        leads = {t[:1] for t in found}
         self.lead = leads.pop() if len(leads) == 1 else None  # how every added token begins
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.table: list[bytes] = [b""] * (max(vocab.values(), default=-1) + 1)
@@ -195,8 +199,8 @@ class ForcedBoundaryBPE:
         return pa.StringArray.from_buffers(len(lists), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data))
 
 
-def _coder(key: str, spec) -> ForcedBoundaryBPE:
-    return resident(key, lambda: ForcedBoundaryBPE(spec.value))
+def _coder(key: str, spec, ordinary: bool = False) -> ForcedBoundaryBPE:
+    return resident(f"{key} {ordinary}", lambda: ForcedBoundaryBPE(spec.value, ordinary))
 
 
 class Bpe:
@@ -225,6 +229,11 @@ class Bpe:
 
         self._encode, self._decode = encode, decode
 
+    def worker(self, ordinary: bool = False) -> Callable[[], ForcedBoundaryBPE]:
+        """What gives a worker its encoder and decoder."""
+        key, spec = self._key, self._spec
+        return lambda: _coder(key, spec, ordinary)
+
     def encode(self, text: Column | str) -> Column:
         return self._encode(text)
 

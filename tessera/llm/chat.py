@@ -1,8 +1,10 @@
 """Chat formatting as prefix trees.
 
-Conversations that share initial turns are merged: the shared turns are written once, depth first,
-and every character has a position id (its depth in its own conversation) and the intervals of
-its ancestors, which are all that it may attend to besides its own turn.
+Conversations that share initial turns are merged: the tokens of shared turns are written once,
+depth first, and every token has a position id (its depth in its own conversation) and the intervals
+of its ancestors, which are all that it may attend to besides its own turn.  Header, text and end of
+a turn are encoded each for itself, so the loss mask begins and ends with tokens; special tokens that
+a text spells out are ordinary text, never their ids.
 
 Conversations are sorted by the path of their turns' hashes, which puts a tree's leaves in
 depth-first order whatever its size, and each task merges neighbours into packs of bounded length.
@@ -15,10 +17,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import Bpe, ForcedBoundaryBPE
+from .workers import lean
+
 PACK_CHARS = 1 << 16
 ASSISTANT = "assistant"
 #: The template: <turn ROLE>TEXT</turn>, each on a line of its own.  In texts and roles a backslash
@@ -65,14 +72,36 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 
 
 PACKS = (
-    "text string, nodes array<struct<start:bigint,length:bigint,parent:int,position:bigint,loss_start:bigint,loss_length:bigint,"
+    "ids array<int>, nodes array<struct<start:bigint,length:bigint,parent:int,position:bigint,loss_start:bigint,loss_length:bigint,"
     "ancestors:array<struct<start:bigint,end:bigint>>>>, leaves array<struct<path_key:string,node:int>>"
 )
 
 
-def _packs(paths: Iterator[tuple[str, list[tuple[str, str]]]], most: int) -> Iterator[tuple]:
-    """Packs of consecutive conversations (path key, turns): text, nodes, leaves."""
-    text, nodes, leaves, size = [], [], [], 0
+def _laid_out(coder: ForcedBoundaryBPE, tree: list[tuple[int, bool, tuple[str, str, str]]]) -> tuple[np.ndarray, list[dict]]:
+    """Token ids and nodes of a pack's turns: parent, loss or not, parts."""
+    encoded = coder.encode(pa.array([x for *_, parts in tree for x in parts], pa.string()))
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in encoded])]).tolist()
+    nodes: list[dict] = []
+    for k, (parent, loss, _) in enumerate(tree):
+        start, head, body, end = ends[3 * k : 3 * k + 4]
+        above = nodes[parent] if parent >= 0 else None
+        nodes.append(
+            {
+                "start": start,
+                "length": end - start,
+                "parent": parent,
+                "position": above["position"] + above["length"] if above else 0,
+                "loss_start": head if loss else -1,
+                "loss_length": body - head if loss else 0,
+                "ancestors": [*above["ancestors"], {"start": above["start"], "end": above["start"] + above["length"]}] if above else [],
+            }
+        )
+    return encoded.flatten().to_numpy(), nodes
+
+
+def _packs(paths: Iterator[tuple[str, list[tuple[str, str]]]], most: int, coder: ForcedBoundaryBPE) -> Iterator[tuple]:
+    """Packs of consecutive conversations (path key, turns): ids, nodes, leaves."""
+    tree, leaves, size = [], [], 0
     stack: list[tuple[tuple[str, str], int]] = []  # open path: turn, node
     for key, turns in paths:
         shared = 0
@@ -81,30 +110,16 @@ def _packs(paths: Iterator[tuple[str, list[tuple[str, str]]]], most: int) -> Ite
         parts = [turn_parts(*t) for t in turns]
         new = sum(len(x) for p in parts[shared:] for x in p)
         if leaves and size + new > most:
-            yield "".join(text), nodes, leaves
-            text, nodes, leaves, size, stack, shared = [], [], [], 0, [], 0
+            yield *_laid_out(coder, tree), leaves
+            tree, leaves, size, stack, shared = [], [], 0, [], 0
         del stack[shared:]
-        for turn, (head, body, end) in list(zip(turns, parts))[shared:]:
-            parent = stack[-1][1] if stack else -1
-            above = nodes[parent] if stack else None
-            length = len(head) + len(body) + len(end)
-            nodes.append(
-                {
-                    "start": size,
-                    "length": length,
-                    "parent": parent,
-                    "position": above["position"] + above["length"] if above else 0,
-                    "loss_start": size + len(head) if turn[0] == ASSISTANT else -1,
-                    "loss_length": len(body) if turn[0] == ASSISTANT else 0,
-                    "ancestors": [*above["ancestors"], {"start": above["start"], "end": above["start"] + above["length"]}] if above else [],
-                }
-            )
-            text += (head, body, end)
-            size += length
-            stack.append((turn, len(nodes) - 1))
+        for turn, own in list(zip(turns, parts))[shared:]:
+            tree.append((stack[-1][1] if stack else -1, turn[0] == ASSISTANT, own))
+            size += sum(map(len, own))
+            stack.append((turn, len(tree) - 1))
         leaves.append({"path_key": key, "node": stack[-1][1] if stack else -1})
     if leaves:
-        yield "".join(text), nodes, leaves
+        yield *_laid_out(coder, tree), leaves
 
 
 def _sequences(turns: DataFrame, conv_id: str, turn: str, role: str, text: str) -> DataFrame:
@@ -117,10 +132,11 @@ def _sequences(turns: DataFrame, conv_id: str, turn: str, role: str, text: str)
     return own.withColumn("path_key", F.array_join(hashes, ""))
 
 
-def prefix_packs(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", *, pack_chars: int = PACK_CHARS) -> tuple[DataFrame, DataFrame]:
-    """(packs, members).  packs: text (formatted turns, shared ones once, depth first), nodes (start, length,
-    parent, position id of the first character, loss interval, ancestors' intervals), leaves
-    (path_key, node).  members: (conv_id, path_key); conversations of equal turns share a leaf.
+def prefix_packs(turns: DataFrame, coder: Bpe, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", *, pack_chars: int = PACK_CHARS) -> tuple[DataFrame, DataFrame]:
+    """(packs, members).  packs: ids (tokens of the formatted turns, shared ones once, depth first),
+    nodes (start, length, parent, position id of the first token, loss interval, ancestors'
+    intervals, all in tokens), leaves (path_key, node).  members: (conv_id, path_key); conversations
+    of equal turns share a leaf.  A pack holds at most pack_chars characters.
 
     Turns are ordered by turn, then role, then text; null roles and texts count as empty, and each
     row of null conv_id is a conversation of its own; repeated rows are turns of their own; a conversation longer
@@ -132,15 +148,16 @@ def prefix_packs(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     paths = own.groupBy("path_key").agg(F.first("turns").alias("turns"))
     # a sort needs its input twice (bounds, then rows), both from one shuffle
     ordered = paths.repartitionByRange("path_key").sortWithinPartitions("path_key")
+    worker = coder.worker(ordinary=True)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows():
-            for frame in frames:
+            for frame in lean(frames):
                 for key, turns in zip(frame["path_key"], frame["turns"]):
                     yield key, [(t["role"], t["text"]) for t in turns]
 
-        for pack in _packs(rows(), pack_chars):
-            yield pd.DataFrame([pack], columns=["text", "nodes", "leaves"])
+        for pack in _packs(rows(), pack_chars, worker()):
+            yield pd.DataFrame([pack], columns=["ids", "nodes", "leaves"])
 
     return ordered.mapInPandas(run, PACKS), members
 
@@ -148,28 +165,41 @@ def prefix_packs(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
 LEAVES = "path_key string, formatted string, turns array<struct<role:string,text:string>>, loss string"
 
 
-def read_packs(packs: DataFrame) -> DataFrame:
-    """(path_key, formatted, turns, loss) of each leaf, read back from packs alone: the path's
-    intervals joined, its parsed turns, and the unescaped text under the loss intervals."""
+def _texts(coder: ForcedBoundaryBPE, ids: np.ndarray, nodes: list[dict]) -> tuple[dict[tuple[int, int], str], list[str]]:
+    """Text of each node by its interval, and the text under its loss interval."""
+    bounds = [0]
+    for n in nodes:
+        end = n["start"] + n["length"]
+        loss = n["loss_start"] if n["loss_start"] >= 0 else end
+        bounds += (loss, loss + n["loss_length"], end)
+    parts = coder.decode(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))).to_pylist()
+    whole = {(n["start"], n["start"] + n["length"]): "".join(parts[3 * k : 3 * k + 3]) for k, n in enumerate(nodes)}
+    return whole, parts[1::3]
+
+
+def read_packs(packs: DataFrame, coder: Bpe) -> DataFrame:
+    """(path_key, formatted, turns, loss) of each leaf, read back from packs alone: the text of the
+    path's intervals joined, its parsed turns, and the unescaped text under the loss intervals."""
+    worker = coder.worker(ordinary=True)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for text, nodes, leaves in zip(frame["text"], frame["nodes"], frame["leaves"]):
+        for frame in lean(frames):
+            for ids, nodes, leaves in zip(frame["ids"], frame["nodes"], frame["leaves"]):
+                whole, under = _texts(worker(), ids, nodes)
                 out = []
                 for leaf in leaves:
                     k = leaf["node"]
                     path = []
                     while k >= 0:
-                        path.append(nodes[k])
+                        path.append(k)
                         k = nodes[k]["parent"]
                     path.reverse()
-                    spans = [*path[-1]["ancestors"], {"start": path[-1]["start"], "end": path[-1]["start"] + path[-1]["length"]}] if path else []
-                    formatted = "".join(text[s["start"] : s["end"]] for s in spans)
-                    loss = "".join(unescape(text[n["loss_start"] : n["loss_start"] + n["loss_length"]]) for n in path if n["loss_start"] >= 0)
+                    last = nodes[path[-1]] if path else None
+                    spans = [*((s["start"], s["end"]) for s in last["ancestors"]), (last["start"], last["start"] + last["length"])] if last else []
+                    formatted = "".join(whole[s] for s in spans)
+                    loss = "".join(unescape(under[k]) for k in path if nodes[k]["loss_start"] >= 0)
                     out.append((leaf["path_key"], formatted, [{"role": r, "text": t} for r, t in parse(formatted)], loss))
                 for lo in range(0, len(out), 64):
                     yield pd.DataFrame(out[lo : lo + 64], columns=["path_key", "formatted", "turns", "loss"])
 
     return packs.mapInPandas(run, LEAVES)
-
-

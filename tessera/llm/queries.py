@@ -74,9 +74,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(1).select(F.explode(F.array(F.struct(F.lit(0).alias("turn"), F.lit("user").alias("role")), F.struct(F.lit(1).alias("turn"), F.lit("assistant").alias("role")))).alias("t"))
     extra = extra.select(F.lit(-7).alias("conv_id"), "t.turn", "t.role", F.lit(own).alias("text"))
     turns = turns.union(extra.select(*[F.col(c).cast(turns.schema[c].dataType) for c in turns.columns]))
-    packs, members = chat.prefix_packs(turns)
+    coder = bpe.Bpe(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    packs, members = chat.prefix_packs(turns, coder)
     each = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    leaves = chat.read_packs(packs).select(
+    leaves = chat.read_packs(packs, coder).select(
         "path_key",
         F.size("turns").cast("bigint").alias("n_turns"),
         F.sha2(F.array_join(each, ""), 256).alias("turns_sha256"),

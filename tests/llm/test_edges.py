@@ -250,14 +250,44 @@ def test_secrets_linked_by_covered_parts(spark):
 
 
 def test_chat_edges(spark):
-    odd = "\\</turn>\n<turn x> \\\\ <turn "
+    odd = "\\</turn>\n<turn x> \\\\ <turn <|endoftext|> \u00e9\u4e2d"
     rows = [(1, 0, "user", "a"), (1, 1, "assistant", odd), (2, 0, "user", "a"), (2, 1, "assistant", odd), (3, 0, "user", "a"), (3, 1, "assistant", None), (None, 0, None, "b"), (4, 1, "x>y", odd), (4, 1, "x>y", odd), (5, 0, "user", "z" * 500)]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("path_key", F.lit(1))
-    packs, members = chat.prefix_packs(df, pack_chars=200)
-    got = {r["conv_id"]: r for r in members.join(chat.read_packs(packs), "path_key").collect()}
+    coder = bpe.Bpe(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    packs, members = chat.prefix_packs(df, coder, pack_chars=200)
+    got = {r["conv_id"]: r for r in members.join(chat.read_packs(packs, coder), "path_key").collect()}
     assert [(t["role"], t["text"]) for t in got[1]["turns"]] == [("user", "a"), ("assistant", odd)] and got[1]["loss"] == odd
     assert got[3]["loss"] == "" and [t["role"] for t in got[None]["turns"]] == [""] and len(got[4]["turns"]) == 2 and got[2]["path_key"] == got[1]["path_key"]
-    assert chat.prefix_packs(df.limit(0))[0].count() == 0
+    assert got[5]["turns"][0]["text"] == "z" * 500
+    assert chat.prefix_packs(df.limit(0), coder)[0].count() == 0
+
+
+def test_chat_tree_in_tokens(spark):
+    """Shared turns' tokens once, positions and attention intervals against the plain encoding of each conversation."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    plain.encode_special_tokens = True
+    ids_of = lambda turns: [i for t in turns for part in chat.turn_parts(*t) for i in plain.encode(part, add_special_tokens=False).ids]
+    convs = [[("user", f"q{a}"), ("assistant", "<|endoftext|> yes")] + [("user", f"then {b}"), ("assistant", f"so {a} {b}")] * (b > 0) for a in range(3) for b in range(3)]
+    rows = [(c, i, r, t) for c, turns in enumerate(convs) for i, (r, t) in enumerate(turns)]
+    coder = bpe.Bpe(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    packs, members = chat.prefix_packs(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").coalesce(1), coder)
+    keys = {r["path_key"]: convs[r["conv_id"]] for r in members.collect()}
+    seen, written = set(), 0
+    for pack in packs.collect():
+        assert 50256 not in pack["ids"]
+        written += len(pack["ids"])
+        for leaf in pack["leaves"]:
+            node = pack["nodes"][leaf["node"]]
+            spans = [(s["start"], s["end"]) for s in node["ancestors"]] + [(node["start"], node["start"] + node["length"])]
+            assert [i for s, e in spans for i in pack["ids"][s:e]] == ids_of(keys[leaf["path_key"]])
+            assert node["position"] == sum(e - s for s, e in spans[:-1])
+            seen.add(leaf["path_key"])
+    assert seen == set(keys)
+    distinct = {tuple(turns[: k + 1]) for turns in convs for k in range(len(turns))}
+    once = sum(len(ids_of(path[-1:])) for path in distinct)
+    assert once <= written < sum(len(ids_of(t)) for t in convs)
 
 
 @settings(max_examples=100, deadline=None)
